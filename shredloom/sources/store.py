@@ -14,10 +14,10 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from shredloom import schemas
 from shredloom.operators.shred import attributes_of, failures_of, keys_of, long_rows
@@ -83,7 +83,10 @@ class LongStore:
             "STATUS", F.when(F.col("ERROR").isNull(), F.lit("ok")).otherwise(F.lit("failed")))
         # Sorted so that Parquet statistics skip parents and other tables, and a filing's rows
         # of one table lie together: pivots then combine them before the shuffle.
+        shredded, keyed = Observation(), Observation()
         (rows.sortWithinPartitions("TaxYear", "STATUS", "TYPE", "RDB_TABLE", "OBJECTID", "ORDER")
+         .observe(shredded, F.count_if(F.col("ERROR").isNotNull()).alias("n_failed"),
+                  F.count_if(F.col("ERROR").isNull()).alias("n_elements"))
          .write.mode("overwrite").partitionBy("TaxYear", "STATUS")
          .parquet(self._batch_path("FLATXML", batch)))
 
@@ -92,13 +95,10 @@ class LongStore:
         good = stored.where(F.col("STATUS") == "ok")
         self._write("ATTRIBUTES", batch, attributes_of(good))
         self._write("FAILED_URLS", batch, failures_of(stored.where(F.col("STATUS") == "failed")))
-        self._write("KEYS", batch, keys_of(good))
+        self._write("KEYS", batch, keys_of(good).observe(
+            keyed, F.count(F.lit(1)).alias("n_filings")))
 
-        counts = {
-            "n_filings": self._written("KEYS", batch).count(),
-            "n_failed": self._written("FAILED_URLS", batch).count(),
-            "n_elements": good.count(),
-        }
+        counts = {**keyed.get, **shredded.get}
         (self.spark.createDataFrame([(batch, *counts.values())], schemas.COMMITS)
          .coalesce(1).write.mode("append").parquet(self.path("COMMITS")))
         return counts
@@ -109,10 +109,6 @@ class LongStore:
     def _write(self, table: str, batch: str, rows: DataFrame) -> None:
         rows.write.mode("overwrite").partitionBy("TaxYear").parquet(self._batch_path(table, batch))
 
-    def _written(self, table: str, batch: str) -> DataFrame:
-        schema = T.StructType(TABLES[table] + [YEAR])
-        return self.spark.read.schema(schema).parquet(self._batch_path(table, batch))
-
     def open(self, years: list[int | str] | None = None) -> DataFrame:
         """Registers flatxml, attributes and keys as views; returns how many returns there are."""
         for name in ("FLATXML", "ATTRIBUTES", "KEYS"):
