@@ -17,7 +17,9 @@ def normalize_path(xpath: Column, legacy: bool = False) -> Column:
     """
     if legacy:
         return F.replace(xpath, F.lit(PATH_PREFIXES[-1]), F.lit(""))
-    out = F.regexp_replace(xpath, r"\[[0-9]+\]", "")
+    # Most paths have no index: the pattern is tried only on those that do.
+    out = F.when(F.contains(xpath, F.lit("[")), F.regexp_replace(xpath, r"\[[0-9]+\]", "")
+                 ).otherwise(xpath)
     for prefix in PATH_PREFIXES:
         out = F.replace(out, F.lit(prefix), F.lit(""))
     return out
@@ -31,21 +33,26 @@ def last_index(xpath: Column) -> Column:
 
 def table_id(xpath: Column) -> Column:
     """`TID-` and the last index, at least five digits wide."""
-    number = F.regexp_replace(last_index(xpath), r"^0+", "")
-    padded = F.when(F.length(number) < 5, F.lpad(number, 5, "0")).otherwise(number)
-    return F.concat(F.lit("TID-"), padded)
+    inside = F.substring_index(F.substring_index(xpath, "[", -1), "]", 1)
+    # Text after the last bracket is nearly always the index; the pattern is for the rest.
+    number = F.coalesce(inside.try_cast("bigint"), last_index(xpath).try_cast("bigint"))
+    digits = number.cast("string")
+    padded = F.lpad(digits, F.greatest(F.length(digits), F.lit(5)), F.lit("0"))
+    return F.when(F.contains(xpath, F.lit("[")), F.concat(F.lit("TID-"), padded)
+                  ).otherwise(F.lit("TID-00000"))
 
 
 def table_header(xpath: Column, node_type: Column) -> Column:
-    """Two nodes of context: the element and its parent, or the parent and grandparent."""
-    nodes = F.array_remove(F.split(xpath, "/"), "")
-    n = F.size(nodes)
-    parent, terminal = node_type == "parent", node_type == "terminal"
-    start = F.when(parent, F.greatest(n - 1, F.lit(2))).otherwise(F.greatest(n - 2, F.lit(1)))
-    length = (F.when(parent, F.lit(2))
-              .when(terminal, F.greatest(F.least(n - 1, F.lit(2)), F.lit(0)))
-              .otherwise(F.lit(3)))
-    return F.concat(F.lit("//"), F.array_join(F.slice(nodes, start, length), "/"))
+    """Two nodes of context: the element and its parent, or the parent and grandparent.
+
+    The root is never context of itself: `/A` as a parent gives `//`, `/A/B` gives `//B`.
+    """
+    after_root = F.locate("/", xpath, 2)
+    own = F.when(after_root > 0, F.substring(xpath, after_root, F.length(xpath))
+                 ).otherwise(F.lit(""))
+    above = F.substring(xpath, F.lit(1), F.length(xpath) - F.length(leaf_name(xpath)) - 1)
+    context = F.when(node_type == "parent", own).otherwise(above)
+    return F.concat(F.lit("//"), F.ltrim(F.substring_index(context, "/", -2), F.lit("/")))
 
 
 def leaf_name(xpath: Column) -> Column:

@@ -9,21 +9,25 @@ from __future__ import annotations
 from collections.abc import Iterator
 from xml.parsers import expat
 
+import numpy as np
 import pyarrow as pa
 
 BLANK = " \t\r\n"
-NONE, TEXT, OTHER = 0, 1, 2
+# Fields of an element while its document is read.
+UP, NAME, NTH, TALLY, START, STOP, PAIRS, TEXT_FIRST, TEXT_LAST, OTHER, PATH = range(11)
 
 # A batch handed back to the JVM is closed at whichever comes first.
 MAX_ROWS = 16_384
 MAX_CHARS = 32 << 20
+# Elements of one document handed on at a time.
+SLICE = 4_096
 
 ATTRS_TYPE = pa.list_(pa.struct([("attr_name", pa.string()), ("attr_value", pa.string())]))
 
 
 def parse_document(xml: bytes, parent_text: bool = True) -> Iterator[tuple]:
-    """Parses at once, then yields `(path, number of child elements, text, attribute pairs)`
-    in document order.
+    """Parses at once, then yields the elements in document order, up to `SLICE` at a time, as
+    lists of paths, numbers of child elements, texts, and (position, attribute pairs).
 
     Sibling indexes are written only among two or more children of one name. Blank text
     between elements is dropped; blank text that is an element's whole content, or part of
@@ -33,61 +37,46 @@ def parse_document(xml: bytes, parent_text: bool = True) -> Iterator[tuple]:
     parser.buffer_text = True
     parser.ordered_attributes = True
 
-    names, up, nth, kids, tallies, attrs = [], [], [], [], [], []
-    begin, stop, head, tail = [], [], [], []
+    elements: list[list] = []
     chunks: list[str] = []
-    stack: list[int] = []
-    root_tally: dict[str, int] = {}
+    top: list = [None, "", 0, None, 0, 0, (), False, False, False, ""]  # the document itself
     blank = ""
     cdata = False
 
     def keep(text):
-        top = stack[-1]
         chunks.append(text)
-        tail[top] = TEXT
-        if head[top] == NONE:
-            head[top] = TEXT
+        top[TEXT_LAST] = True
+        if top[TALLY] is None and not top[OTHER]:
+            top[TEXT_FIRST] = True
 
     def settle(closing):
         nonlocal blank
         text, blank = blank, ""
-        top = stack[-1]
-        if head[top] == TEXT or tail[top] == TEXT or (closing and head[top] == NONE):
+        alone = closing and top[TALLY] is None and not top[OTHER]
+        if alone or top[TEXT_FIRST] or top[TEXT_LAST]:
             keep(text)
 
     def on_start(name, pairs):
-        me = len(names)
-        if stack:
-            if blank:
-                settle(False)
-            top = stack[-1]
-            kids[top] += 1
-            tail[top] = OTHER
-            if head[top] == NONE:
-                head[top] = OTHER
-            tally = tallies[top]
-            if tally is None:
-                tally = tallies[top] = {}
+        nonlocal top
+        if blank:
+            settle(False)
+        tally = top[TALLY]
+        if tally is None:
+            top[TALLY] = {name: 1}
+            count = 1
         else:
-            top, tally = -1, root_tally
-        count = tally.get(name, 0) + 1
-        tally[name] = count
-        names.append(name)
-        up.append(top)
-        nth.append(count)
-        kids.append(0)
-        tallies.append(None)
-        attrs.append(pairs)
-        begin.append(len(chunks))
-        stop.append(0)
-        head.append(NONE)
-        tail.append(NONE)
-        stack.append(me)
+            count = tally.get(name, 0) + 1
+            tally[name] = count
+        top[TEXT_LAST] = False
+        top = [top, name, count, None, len(chunks), 0, pairs, False, False, False, ""]
+        elements.append(top)
 
     def on_end(_name):
+        nonlocal top
         if blank:
             settle(True)
-        stop[stack.pop()] = len(chunks)
+        top[STOP] = len(chunks)
+        top = top[UP]
 
     def on_text(text):
         nonlocal blank
@@ -99,13 +88,9 @@ def parse_document(xml: bytes, parent_text: bool = True) -> Iterator[tuple]:
             blank = text
 
     def on_other(*_):
-        if stack:
-            if blank:
-                settle(False)
-            top = stack[-1]
-            tail[top] = OTHER
-            if head[top] == NONE:
-                head[top] = OTHER
+        if blank:
+            settle(False)
+        top[OTHER], top[TEXT_LAST] = True, False
 
     def on_cdata():
         nonlocal cdata
@@ -131,70 +116,82 @@ def parse_document(xml: bytes, parent_text: bool = True) -> Iterator[tuple]:
     parser.SkippedEntityHandler = refuse
     parser.Parse(xml, True)
 
-    def walk():
-        paths: list[str] = []
-        for me, name in enumerate(names):
-            top = up[me]
-            if top < 0:
-                path = "/" + name
-            elif tallies[top][name] > 1:
-                path = f"{paths[top]}/{name}[{nth[me]}]"
-            else:
-                path = f"{paths[top]}/{name}"
-            paths.append(path)
-            first, last = begin[me], stop[me]
-            if last == first or me == 0:
-                text = ""
-            elif kids[me] and not parent_text:
-                text = None
-            elif last - first == 1:
-                text = chunks[first]
-            else:
-                text = "".join(chunks[first:last])
-            yield path, kids[me], text, attrs[me]
-
-    return walk()
+    def slices():
+        for low in range(0, len(elements), SLICE):
+            paths, kids, texts, attrs = [], [], [], []
+            for element in elements[low:low + SLICE]:
+                parent, name, count, tally, first, last, pairs, _, _, _, _ = element
+                if parent[TALLY][name] > 1:
+                    path = f"{parent[PATH]}/{name}[{count}]"
+                else:
+                    path = f"{parent[PATH]}/{name}"
+                element[PATH] = path
+                if tally is not None and not parent_text:
+                    text = None
+                elif last - first == 1:
+                    text = chunks[first]
+                else:
+                    text = "".join(chunks[first:last])
+                if pairs:
+                    attrs.append((len(paths), pairs))
+                paths.append(path)
+                kids.append(sum(tally.values()) if tally else 0)
+                texts.append(text)
+            yield paths, kids, texts, attrs
+
+    return slices()
 
 
 class _Rows:
     """Rows waiting to become one Arrow batch."""
 
     def __init__(self) -> None:
-        self.doc, self.order, self.path, self.kids = [], [], [], []
-        self.text, self.error = [], []
-        self.attr_at, self.attr_name, self.attr_value = [0], [], []
-        self.chars = 0
+        self.count = self.chars = 0
+        self.runs: list[tuple[int, int, int]] = []  # document, first order, rows
+        self.path, self.kids, self.text = [], [], []
+        self.attr_row, self.attr_name, self.attr_value = [], [], []
+        self.reasons: dict[int, str] = {}
 
     def full(self) -> bool:
-        return len(self.doc) >= MAX_ROWS or self.chars >= MAX_CHARS
-
-    def add(self, doc, order, path, kids, text, pairs, error=None) -> None:
-        self.doc.append(doc)
-        self.order.append(order)
-        self.path.append(path)
-        self.kids.append(kids)
-        self.text.append(text)
-        self.error.append(error)
-        for i in range(0, len(pairs), 2):
-            name = pairs[i]
-            if name != "xmlns" and not name.startswith("xmlns:"):
-                self.attr_name.append(name.rpartition(":")[2])
-                self.attr_value.append(pairs[i + 1])
-        self.attr_at.append(len(self.attr_name))
-        self.chars += len(text or "") + len(path or "")
+        return self.count >= MAX_ROWS or self.chars >= MAX_CHARS
+
+    def add(self, doc, order, paths, kids, texts, attrs) -> None:
+        for at, pairs in attrs:
+            for name, value in zip(pairs[::2], pairs[1::2]):
+                if name != "xmlns" and not name.startswith("xmlns:"):
+                    self.attr_row.append(self.count + at)
+                    self.attr_name.append(name.rpartition(":")[2])
+                    self.attr_value.append(value)
+        self.runs.append((doc, order, len(paths)))
+        self.path += paths
+        self.kids += kids
+        self.text += texts
+        self.count += len(paths)
+        self.chars += sum(map(len, filter(None, texts)))
+
+    def fail(self, doc, reason) -> None:
+        self.reasons[self.count] = reason
+        self.add(doc, 0, [None], [None], [None], ())
 
     def batch(self, carried: pa.RecordBatch) -> pa.RecordBatch:
-        rows = pa.array(self.doc, pa.int32())
+        docs, orders, counts = np.array(self.runs, np.int32).T
+        ends = np.cumsum(counts)
+        order = np.arange(self.count, dtype=np.int32) + np.repeat(orders - ends + counts, counts)
+        per_row = np.bincount(self.attr_row, minlength=self.count)
+        offsets = np.concatenate(([0], np.cumsum(per_row)))
         pairs = pa.StructArray.from_arrays(
             [pa.array(self.attr_name, pa.string()), pa.array(self.attr_value, pa.string())],
             fields=list(ATTRS_TYPE.value_type))
+        errors = (pa.array(map(self.reasons.get, range(self.count)), pa.string())
+                  if self.reasons else pa.nulls(self.count, pa.string()))
+        rows = pa.array(np.repeat(docs, counts), pa.int32())
         columns = [column.take(rows) for column in carried.columns] + [
-            pa.array(self.order, pa.int32()),
+            pa.array(order, pa.int32()),
             pa.array(self.path, pa.string()),
             pa.array(self.kids, pa.int32()),
             pa.array(self.text, pa.string()),
-            pa.ListArray.from_arrays(pa.array(self.attr_at, pa.int32()), pairs),
-            pa.array(self.error, pa.string()),
+            pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs),
+            errors,
         ]
         names = carried.schema.names + [
             "ORDER", "XPATH", "N_CHILDREN", "VALUE", "ATTRS", "ERROR"]
@@ -217,14 +214,16 @@ def element_batches(parent_text: bool = True):
                 try:
                     elements = parse_document(documents[doc].as_py() or b"", parent_text)
                 except (expat.ExpatError, ValueError) as problem:
-                    rows.add(doc, 0, None, None, None, (), str(problem))
+                    rows.fail(doc, str(problem))
                     continue
-                for order, (path, kids, text, pairs) in enumerate(elements, 1):
-                    rows.add(doc, order, path, kids, text, pairs)
+                order = 1
+                for paths, kids, texts, attrs in elements:
+                    rows.add(doc, order, paths, kids, texts, attrs)
+                    order += len(paths)
                     if rows.full():
                         yield rows.batch(carried)
                         rows = _Rows()
-            if rows.doc:
+            if rows.count:
                 yield rows.batch(carried)
 
     return run

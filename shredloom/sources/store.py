@@ -14,13 +14,13 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shredloom import schemas
 from shredloom.operators.shred import attributes_of, failures_of, keys_of, long_rows
+from shredloom.session import path_exists
 
 YEAR = T.StructField("TaxYear", T.StringType())
 BATCH = T.StructField("BATCH", T.StringType())
@@ -48,12 +48,9 @@ class LongStore:
         return self._stored("COMMITS", schemas.COMMITS)
 
     def _stored(self, table: str, schema: T.StructType) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(self.path(table))
-        except AnalysisException as problem:
-            if problem.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not path_exists(self.spark, self.path(table)):
             return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.path(table))
 
     def table(self, name: str, years: list[int | str] | None = None) -> DataFrame:
         """Rows of finished batches, with TaxYear; only the asked years are scanned."""
