@@ -10,18 +10,12 @@ MAX_BYTES = 64 << 20
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
-    """Whether the rows and the text bytes stay within the bound.
-
-    Reads at most `max_rows + 1` rows, so the check itself is bounded as well.
-    """
+    """Whether the rows and the text bytes stay within the bound: one aggregate, no shuffle."""
     width = F.lit(0)
     for name in df.columns:
         width = width + F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0))
-    rows, size = (
-        df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)), F.coalesce(F.sum(width.cast("long")), F.lit(0)))
-        .first()
-    )
+    rows, size = df.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()
     return rows <= max_rows and size <= max_bytes
 
 

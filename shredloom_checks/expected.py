@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from shredloom_checks.fixtures import (
     CONCORDANCE_ROWS, HEADER_TABLE, LINES_TABLE, URL_BASE)
-from shredloom_checks.queries import AS_OF_YEAR, DRIVER_TABLES, YEARS
+from shredloom_checks.queries import AS_OF_YEAR, DRIVER_TABLES
 
 _H, _F = "/Return/ReturnHeader", "/Return/ReturnData/Form"
 _G = f"{_F}/LineItemGrp"
@@ -140,12 +140,12 @@ _CC = "cc AS (SELECT * FROM (VALUES " + ", ".join(
 ) + ") v(xpath, variable_name))"
 
 
-def _report(where: str = "true") -> str:
-    """Report over years: totals joined with the crosswalk, typed against the whole path set."""
+def _report() -> str:
+    """Report over all years: totals joined with the crosswalk, typed against the whole path set."""
     return f"""{WITH_E[:-1]}, {_CC},
 r AS (SELECT xpath2 AS xpath, CAST(count(*) AS BIGINT) AS count_occurrences,
     string_agg(DISTINCT version, ';;' ORDER BY version) AS schema_versions
-  FROM e WHERE {where} GROUP BY xpath2),
+  FROM e GROUP BY xpath2),
 j AS (SELECT coalesce(r.xpath, cc.xpath) AS xpath, count_occurrences, schema_versions,
     variable_name, CASE WHEN cc.xpath IS NOT NULL THEN '2001' END AS concordance_latest_version
   FROM r FULL JOIN cc ON r.xpath = cc.xpath)
@@ -161,11 +161,10 @@ SELECT xpath, coalesce(count_occurrences, -1) AS count_occurrences, schema_versi
 FROM j"""
 
 
-def _yearly(condition: str) -> str:
-    return f"""{WITH_A[:-1]},
-w AS (SELECT * FROM ft WHERE {condition}),
+def _yearly() -> str:
+    return f"""{WITH_L[:-1]},
 s AS (SELECT y, count(*) AS nk, sum(13 + a + 6 * n_lines) AS ne, sum(2 + n_lines) AS na
-  FROM w GROUP BY y)
+  FROM ft GROUP BY y)
 SELECT y AS "TaxYear", CAST(nk AS BIGINT) AS n_rows, 'KEYS' AS table_name FROM s
 UNION ALL SELECT y, CAST(ne AS BIGINT), 'FLATXML' FROM s
 UNION ALL SELECT y, CAST(na AS BIGINT), 'ATTRIBUTES' FROM s"""
@@ -242,12 +241,14 @@ SQL: dict[str, str] = {
         CAST(CASE WHEN g < gs THEN 25 ELSE n - (gs - 1) * 25 END AS VARCHAR) || '}}' AS chunk
       FROM g""",
     "split_index_by_year": f"""{WITH_F}SELECT url AS "URL", y AS "TaxYear", form AS "FormType"
-      FROM f WHERE y IN ('1996', '1998')""",
+      FROM f""",
     "index_crosstab": f"""{WITH_F}SELECT y AS "TaxYear",
       CAST(count(*) FILTER (WHERE form = '990') AS BIGINT) AS "990",
       CAST(count(*) FILTER (WHERE form = '990EZ') AS BIGINT) AS "990EZ"
       FROM f WHERE form IN ('990', '990EZ') GROUP BY y""",
-    "missing_filings": f"""{WITH_F}SELECT url AS "URL" FROM f WHERE y = '1997'
+    "missing_filings": f"""{WITH_F}SELECT url AS "URL" FROM f
+      EXCEPT SELECT url FROM f WHERE {EVEN}""",
+    "missing_filings_of_year": f"""{WITH_F}SELECT url AS "URL" FROM f WHERE y = '1997'
       EXCEPT SELECT url FROM f WHERE {EVEN}""",
     "pending_filings": f"""{WITH_F}SELECT url AS "URL" FROM f WHERE k % 4 = 3""",
     "project_concordance": f"""{WITH_E}SELECT DISTINCT xpath2 AS "XPATH", var AS "VARIABLE_NAME",
@@ -284,10 +285,12 @@ SQL: dict[str, str] = {
     "merge_update_rows": f"""{WITH_E}SELECT y AS "TaxYear", xpath2 AS "XPATH2",
       CAST(count(*) AS BIGINT) AS n_rows FROM e GROUP BY y, xpath2""",
     "open_snapshot_returns": "SELECT CAST(count(*) AS BIGINT) AS n_returns FROM orders",
-    "build_year": f"""{WITH_F}SELECT {KEY_COLUMNS}, y AS "TaxYear" FROM f WHERE y = '1996'""",
-    "resume_year": _yearly("y = '1997'"),
-    "update_year": _yearly("y IN ('1998', '1999')"),
-    "update_stream": _yearly("true"),
+    "build_year": f"""{WITH_F}SELECT {KEY_COLUMNS}, y AS "TaxYear" FROM f""",
+    "build_single_year": f"""{WITH_F}SELECT {KEY_COLUMNS}, y AS "TaxYear" FROM f
+      WHERE y = '1996'""",
+    "resume_year": _yearly(),
+    "update_year": _yearly(),
+    "update_stream": _yearly(),
     "table_rows": f"""{WITH_E}SELECT oid AS "OBJECTID", var AS "VARIABLE_NAME", val AS "VALUE"
       FROM e WHERE typ = 'terminal' AND rdb = '{HEADER_TABLE}'""",
     "header_rows": f"""{WITH_E}SELECT xpath2 AS "XPATH2", CAST(count(*) AS BIGINT) AS n_rows FROM e
@@ -339,11 +342,11 @@ SQL: dict[str, str] = {
       ORDER BY c_custkey, c_name, c_nationkey LIMIT 25""",
     "xpath_report": f"""{WITH_E}SELECT xpath2 AS xpath, CAST(count(*) AS BIGINT)
       AS count_occurrences, string_agg(DISTINCT version, ', ' ORDER BY version) AS schema_versions
-      FROM e WHERE y = '1996' GROUP BY xpath2""",
+      FROM e GROUP BY xpath2""",
     "xpath_report_by_year": f"""{WITH_E}SELECT y AS "TaxYear", xpath2 AS xpath,
       CAST(count(*) AS BIGINT) AS count_occurrences,
       string_agg(DISTINCT version, ', ' ORDER BY version) AS schema_versions
       FROM e GROUP BY y, xpath2""",
-    "process_xpaths": _report(f"y IN ({', '.join(repr(year) for year in YEARS)})"),
-    "write_xpath_reports": _report("y IN ('1995', '1996', '2001')"),
+    "process_xpaths": _report(),
+    "write_xpath_reports": _report(),
 }

@@ -213,7 +213,7 @@ def chunk_label(spark, sf):
 @query
 def split_index_by_year(spark, sf):
     path = scratch_path(spark, "index")
-    landing.split_index_by_year(fx.index(spark, sf), [1996, "1998"], path)
+    landing.split_index_by_year(fx.index(spark, sf), [1995, *YEARS], path)
     return spark.read.parquet(path).select(
         "URL", F.col("TaxYear").cast("string").alias("TaxYear"), "FormType")
 
@@ -225,6 +225,11 @@ def index_crosstab(spark, sf):
 
 @query
 def missing_filings(spark, sf):
+    return filing_index.missing_filings(fx.index(spark, sf), even(keys(spark, sf)))
+
+
+@query
+def missing_filings_of_year(spark, sf):
     return filing_index.missing_filings(fx.index(spark, sf), even(keys(spark, sf)), 1997)
 
 
@@ -379,6 +384,16 @@ def yearly_counts(store: LongStore) -> DataFrame:
 
 @query
 def build_year(spark, sf):
+    """All years of the index in one job."""
+    store = LongStore(spark, scratch_path(spark, "build"))
+    jobs.build_years(store, documents(spark, sf), fx.index(spark, sf),
+                     crosswalk=fx.concordance(spark))
+    return store.table("KEYS")
+
+
+@query
+def build_single_year(spark, sf):
+    """One year asked for: the index's other years stay out."""
     store = LongStore(spark, scratch_path(spark, "year"))
     jobs.build_year(store, documents(spark, sf), 1996, fx.concordance(spark),
                     fx.index(spark, sf))
@@ -387,31 +402,32 @@ def build_year(spark, sf):
 
 @query
 def resume_year(spark, sf):
-    """Half the year is stored, some filings are known to fail; the rest is pending."""
+    """Half of each year is stored and the pages are known to fail; the rest is pending."""
     store = LongStore(spark, scratch_path(spark, "resume"))
-    index = fx.index(spark, sf).where(landing.same_year(1997))
-    docs = mixed(spark, sf)
     bad = fx.broken(spark, sf).select(
         F.col("url").alias("URL"), F.lit("1997").alias("TaxYear"), F.lit("990").alias("FormType"))
-    index = index.unionByName(bad)
-    first = index.where(F.substring("URL", -12, 1).isin(list("02468")) | ~F.col("URL").startswith(fx.URL_BASE))
-    jobs.build_year(store, docs, 1997, fx.concordance(spark), first)
-    jobs.resume_year(store, docs, 1997, index, fx.concordance(spark))
-    jobs.resume_year(store, docs, 1997, index, fx.concordance(spark))
+    index = fx.index(spark, sf).unionByName(bad)
+    ours = F.col("URL").startswith(fx.URL_BASE)
+    first = index.where(F.substring("URL", -12, 1).isin(list("02468")) | ~ours)
+    docs, names = mixed(spark, sf), fx.concordance(spark)
+    jobs.build_years(store, docs, first, crosswalk=names)
+    jobs.resume_years(store, docs, index, crosswalk=names)
+    if jobs.resume_years(store, docs, index, crosswalk=names) is not None:
+        raise AssertionError("nothing may be pending any more")
     return yearly_counts(store)
 
 
 @query
 def update_year(spark, sf):
-    """Two years built from even orders, then updated twice from the whole index."""
+    """All years built from even orders, then updated twice from everything landed."""
     store = LongStore(spark, scratch_path(spark, "update"))
     docs, index = documents(spark, sf), fx.index(spark, sf)
     evens = docs.where(F.substring("url", -12, 1).isin(list("02468")))
     names = fx.concordance(spark)
-    for year in ("1998", 1999):
-        jobs.build_year(store, evens, year, names, index)
-        jobs.update_year(store, docs, year, index, names)
-        jobs.update_year(store, docs, year, index, names)
+    jobs.build_years(store, evens, index, YEARS, names)
+    jobs.build_years(store, docs, index, YEARS, names)
+    if jobs.build_years(store, docs, index, YEARS, names) is not None:
+        raise AssertionError("the store must be up to date")
     return yearly_counts(store)
 
 
@@ -553,7 +569,7 @@ def preview_table(spark, sf):
 
 @query
 def xpath_report(spark, sf):
-    return reports.xpath_report(flat(spark, sf, [1996]), keys(spark, sf, [1996]))
+    return reports.xpath_report(flat(spark, sf), keys(spark, sf))
 
 
 @query
@@ -580,7 +596,7 @@ def process_xpaths(spark, sf):
 
 @query
 def write_xpath_reports(spark, sf):
-    """The same by way of yearly CSV reports, three years only."""
+    """The same by way of yearly CSV reports."""
     return plain(jobs.write_xpath_reports(
-        flat(spark, sf), keys(spark, sf), [1995, 1996, 2001], scratch_path(spark, "reports"),
+        flat(spark, sf), keys(spark, sf), YEARS, scratch_path(spark, "reports"),
         fx.concordance(spark), as_of_year=AS_OF_YEAR))
