@@ -13,8 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # One Arrow record batch holds this many whole XML documents on its way to Python.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    # Whole XML documents go to Python in record batches of at most this size.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16MB",
     # Filings are many small files: open more of them per task.
     "spark.sql.files.openCostInBytes": str(1 << 20),
 }

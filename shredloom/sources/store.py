@@ -76,6 +76,7 @@ class LongStore:
             batch = uuid.uuid4().hex
         elif self.has_batch(batch):
             return None
+        filings = filings.select("url", "xml", F.col("TaxYear").cast("string").alias("TaxYear"))
         rows = long_rows(filings, crosswalk, **options).withColumn(
             "STATUS", F.when(F.col("ERROR").isNull(), F.lit("ok")).otherwise(F.lit("failed")))
         # Sorted so that Parquet statistics skip parents and other tables, and a filing's rows
