@@ -170,3 +170,24 @@ def test_created_tables_are_not_overwritten(spark, folder):
     assert spark.read.parquet(f"{folder}/t").count() == 3
     with pytest.raises(Exception, match="(?i)exists"):
         tables.create_as(spark.range(1), f"{folder}/t")
+
+
+def test_stream_takes_a_filing_landed_twice_once(spark, tmp_path):
+    store = LongStore(spark, str(tmp_path / "store"))
+    landing = str(tmp_path / "landing")
+    both = filings(spark, 1, 2).unionByName(filings(spark, 2, broken=[7])).withColumn("TaxYear", F.lit("2020"))
+    both.write.parquet(landing)
+    stream = spark.readStream.schema(both.schema).parquet(landing)
+    update_stream(stream, store, str(tmp_path / "offsets")).awaitTermination()
+    assert ids(store) == ["OID-1", "OID-2"] and store.table("FLATXML").count() == 4
+    assert store.table("FAILED_URLS").count() == 1
+
+
+def test_one_url_may_belong_to_two_years(spark, folder):
+    store = LongStore(spark, folder)
+    listed = index(spark, 1, 2).unionByName(index(spark, 2, year="2021"))
+    assert jobs.build_years(store, filings(spark, 1, 2), listed)["n_elements"] == 6
+    assert rows(store.table("KEYS").select("TaxYear", "OBJECTID")) == [
+        ("2020", "OID-1"), ("2020", "OID-2"), ("2021", "OID-2")]
+    assert jobs.build_years(store, filings(spark, 1, 2), listed, [2020, "2021"]) is None
+    assert store.table("FLATXML", [2021]).count() == 2
