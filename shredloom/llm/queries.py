@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shredloom.llm import line_dedup, mixing, quality
+from shredloom.llm import bpe, license_scan, line_dedup, mixing, quality, token_counts
 from shredloom.llm.common import pieces, table
+from shredloom.llm.vocabulary import read_ranks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -19,6 +20,13 @@ def query(function: Query) -> Query:
     return function
 
 
+def tokenizers():
+    """The installed package of public vocabulary files."""
+    import public_tokenizers
+
+    return public_tokenizers
+
+
 @query
 def op1_line_dedup(spark, sf):
     """Documents without the lines that too many pages of their source share."""
@@ -28,6 +36,22 @@ def op1_line_dedup(spark, sf):
         F.length("text").cast("long").alias("n_chars_kept"), F.md5("text").alias("text_md5"))
 
 
+@query
+def op3_token_counts(spark, sf):
+    """Unigram tokens of each document, pieces and their ranks from a public vocabulary."""
+    tokens = tokenizers()
+    scores = token_counts.zipf_scores(read_ranks(tokens.path("byte_bpe_50k.tiktoken")))
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, scores, tokens.PATTERN)
+
+
+@query
+def op6_license_scan(spark, sf):
+    """License notices in documents."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return license_scan.scan_licenses(docs)
+
+
 @query
 def op8_mixing(spark, sf):
     """Words that a mix of all sources takes from each document."""
@@ -36,6 +60,20 @@ def op8_mixing(spark, sf):
     return mixing.mix(docs, size).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op9_byte_bpe(spark, sf):
+    """Digests of the token ids of each document and of what they decode to."""
+    tokens = tokenizers()
+    ranks = read_ranks(tokens.path("byte_bpe_50k.tiktoken"))
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    encoded = bpe.encode(docs, ranks, tokens.PATTERN)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2(bpe.decode(F.col("ids"), ranks, spark), 256).alias("decoded_sha256"))
+
+
 @query
 def op10_quality_rules(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
