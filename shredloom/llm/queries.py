@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shredloom.llm import bpe, license_scan, line_dedup, mixing, quality, token_counts
+from shredloom.llm import (
+    bpe, embedding_dedup, license_scan, line_dedup, mixing, quality, sharding, token_counts)
 from shredloom.llm.common import pieces, table
 from shredloom.llm.vocabulary import read_ranks
 
@@ -36,6 +37,13 @@ def op1_line_dedup(spark, sf):
         F.length("text").cast("long").alias("n_chars_kept"), F.md5("text").alias("text_md5"))
 
 
+@query
+def op2_embedding_dedup(spark, sf):
+    """Links, components and survivors of near-duplicate vectors."""
+    vectors = table(spark, sf, "embeddings")
+    return embedding_dedup.near_vectors(vectors)
+
+
 @query
 def op3_token_counts(spark, sf):
     """Unigram tokens of each document, pieces and their ranks from a public vocabulary."""
@@ -45,6 +53,15 @@ def op3_token_counts(spark, sf):
     return token_counts.count_tokens(docs, scores, tokens.PATTERN)
 
 
+@query
+def op5_sharding(spark, sf):
+    """All documents in eight shards of equal counts, equal texts together."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    same_text = F.array(F.when(F.col("text").isNotNull(), F.xxhash64("text")))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)) + 1
+    return sharding.shard_documents(docs, same_text, size)
+
+
 @query
 def op6_license_scan(spark, sf):
     """License notices in documents."""
