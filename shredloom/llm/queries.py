@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shredloom.llm import (
-    bpe, embedding_dedup, license_scan, line_dedup, mixing, quality, sharding, token_counts)
+    bpe, embedding_dedup, license_scan, line_dedup, mixing, ngram_join, quality, sharding,
+    token_counts)
 from shredloom.llm.common import pieces, table
 from shredloom.llm.vocabulary import read_ranks
 
@@ -53,6 +54,12 @@ def op3_token_counts(spark, sf):
     return token_counts.count_tokens(docs, scores, tokens.PATTERN)
 
 
+@query
+def op4_ngram_join(spark, sf):
+    """Components of documents whose sets of 4-word shingles are at least 85 % alike."""
+    return ngram_join.similar_documents(table(spark, sf, "documents"))
+
+
 @query
 def op5_sharding(spark, sf):
     """All documents in eight shards of equal counts, equal texts together."""
