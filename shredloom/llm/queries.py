@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shredloom.llm import (
-    bpe, embedding_dedup, license_scan, line_dedup, mixing, ngram_join, quality, sharding,
-    token_counts)
+    bpe, embedding_dedup, html_text, license_scan, line_dedup, mixing, ngram_join, quality,
+    sharding, token_counts)
 from shredloom.llm.common import pieces, table
 from shredloom.llm.vocabulary import read_ranks
 
@@ -76,6 +76,13 @@ def op6_license_scan(spark, sf):
     return license_scan.scan_licenses(docs)
 
 
+@query
+def op7_html_text(spark, sf):
+    """Main text of every page."""
+    return html_text.extract_main_text(table(spark, sf, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op8_mixing(spark, sf):
     """Words that a mix of all sources takes from each document."""
