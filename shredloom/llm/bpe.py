@@ -8,8 +8,8 @@ the ids. Texts stay where they are: nothing is shuffled.
 from __future__ import annotations
 
 import heapq
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 
 from shredloom.llm.vocabulary import splitter
 
-KEPT_WORDS = 300_000  # distinct words whose ids a task keeps before it starts anew
+KEPT_WORDS = 400_000  # distinct words whose ids a task keeps; further ones are merged anew
+LONGEST_KEPT = 1_024  # bytes
 SHORT = 24            # bytes; longer words are merged with a heap
 CHUNK = 256           # rows of one output batch
 
@@ -27,14 +28,19 @@ CHUNK = 256           # rows of one output batch
 def merge_short(word: bytes, ranks: dict[bytes, int]) -> list[bytes]:
     """Merges the leftmost pair of the lowest rank until no adjacent pair has one."""
     parts = [word[i:i + 1] for i in range(len(word))]
-    none = len(ranks) + 1
-    while len(parts) > 1:
-        scores = [ranks.get(a + b, none) for a, b in zip(parts, parts[1:])]
+    none, rank = len(ranks) + 1, ranks.get
+    scores = [rank(a + b, none) for a, b in zip(parts, parts[1:])]
+    while scores:
         lowest = min(scores)
         if lowest == none:
             break
         at = scores.index(lowest)
-        parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        parts[at] += parts.pop(at + 1)
+        scores.pop(at)
+        if at < len(scores):
+            scores[at] = rank(parts[at] + parts[at + 1], none)
+        if at:
+            scores[at - 1] = rank(parts[at - 1] + parts[at], none)
     return parts
 
 
@@ -67,19 +73,18 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[bytes]:
 
 
 class WordIds(dict):
-    """Ids of the distinct words seen, computed when first asked for."""
+    """Ids of the distinct words seen, as packed 32-bit numbers, computed when first asked for."""
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
         self.ranks = ranks
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> bytes:
         raw = word.encode()
         merge = merge_short if len(raw) <= SHORT else merge_long
-        ids = tuple(self.ranks[part] for part in merge(raw, self.ranks))
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        if len(raw) <= 4096:
+        parts = [raw] if raw in self.ranks else merge(raw, self.ranks)
+        ids = array("i", map(self.ranks.__getitem__, parts)).tobytes()
+        if len(self) < KEPT_WORDS and len(raw) <= LONGEST_KEPT:
             self[word] = ids
         return ids
 
@@ -105,8 +110,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
                 offsets, flat = [0], []
                 for value in rows.column(text).to_pylist():
                     words = pattern_of.findall(value) if value else ()
-                    ids = np.fromiter(
-                        chain.from_iterable(map(known.__getitem__, words)), np.int32)
+                    ids = np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32)
                     flat.append(ids)
                     offsets.append(offsets[-1] + len(ids))
                 lists = pa.ListArray.from_arrays(
@@ -119,12 +123,16 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
 
 def decode(ids: Column, ranks: dict[bytes, int], spark) -> Column:
     """The bytes that a column of token ids stands for; null ids give empty bytes."""
-    shared = spark.sparkContext.broadcast({rank: piece for piece, rank in ranks.items()})
+    pieces: list[bytes] = [b""] * (max(ranks.values()) + 1)
+    for piece, rank in ranks.items():
+        pieces[rank] = piece
+    shared = spark.sparkContext.broadcast(pieces)
 
     @F.arrow_udf("binary")
     def join_pieces(column: pa.Array) -> pa.Array:
-        piece = shared.value.__getitem__
-        return pa.array([b"".join(map(piece, row.values.to_numpy())) if row.is_valid else b""
-                         for row in column], pa.binary())
+        piece, values = shared.value, column.values.to_numpy()
+        offsets = column.offsets.to_numpy().tolist()
+        return pa.array([b"".join([piece[i] for i in values[start:stop].tolist()])
+                         for start, stop in zip(offsets, offsets[1:])], pa.binary())
 
     return join_pieces(ids)
