@@ -11,8 +11,7 @@ from pyspark.sql import types as T
 
 from shredloom.llm.vocabulary import splitter
 
-MAX_NODES = 400_000   # of a task's trie before it starts anew
-MAX_SHARED = 1_024    # bytes; longer pre-tokens are scored without entering the trie
+MAX_NODES = 800_000   # of a task's trie; what does not fit is scored without being stored
 
 
 def zipf_scores(ranks: dict[bytes, int]) -> dict[bytes, float]:
@@ -28,40 +27,39 @@ class PrefixTrie:
     that no earlier one has. At equal scores the segmentation with fewer pieces wins.
     """
 
-    def __init__(self, scores: dict[bytes, float]):
-        self.scores, self.longest = scores, max(map(len, scores))
-        self.clear()
-
-    def clear(self) -> None:
+    def __init__(self, scores: dict[bytes, float], max_nodes: int = MAX_NODES):
+        self.scores, self.longest, self.max_nodes = scores, max(map(len, scores)), max_nodes
         self.children: dict[int, int] = {}
         self.best: list[tuple[float, int]] = [(0.0, 0)]
 
-    def forward(self, word: bytes, end: int, best) -> tuple[float, int]:
-        """Best (score, -pieces) of word[:end], given best(i) of all shorter prefixes."""
-        found = (-math.inf, 0)
-        for start in range(max(0, end - self.longest), end):
-            score = self.scores.get(word[start:end])
-            if score is not None:
-                total, pieces = best[start]
-                found = max(found, (total + score, pieces - 1))
-        return found
+    def forward(self, word: bytes, end: int, path: list[tuple[float, int]]) -> tuple[float, int]:
+        """Best (score, pieces) of word[:end], given those of all shorter prefixes."""
+        best, fewest, score = -math.inf, 0, self.scores.get
+        for start in range(end - self.longest if end > self.longest else 0, end):
+            own = score(word[start:end])
+            if own is not None:
+                total, pieces = path[start]
+                total += own
+                if total > best or total == best and pieces < fewest:
+                    best, fewest = total, pieces
+        return best, fewest + 1
 
     def insert(self, word: bytes) -> int:
-        """Number of pieces of the best segmentation, stored at the pre-token's terminal."""
-        if len(word) > MAX_SHARED:
-            path = [(0.0, 0)]
-            for end in range(1, len(word) + 1):
-                path.append(self.forward(word, end, path))
-            return -path[-1][1]
-        node, path = 0, [self.best[0]]
+        """Number of pieces of the best segmentation, found at the pre-token's terminal."""
+        children, best = self.children, self.best
+        node, path = 0, [best[0]]
         for end, byte in enumerate(word, 1):
             key = node << 8 | byte
-            node = self.children.get(key, -1)
+            node = children.get(key, -1) if node >= 0 else -1
             if node < 0:
-                node = self.children[key] = len(self.best)
-                self.best.append(self.forward(word, end, path))
-            path.append(self.best[node])
-        return -path[-1][1]
+                here = self.forward(word, end, path)
+                if len(best) < self.max_nodes and key >= 0:
+                    node = children[key] = len(best)
+                    best.append(here)
+                path.append(here)
+            else:
+                path.append(best[node])
+        return path[-1][1]
 
 
 class TokenCounts(dict):
@@ -72,12 +70,8 @@ class TokenCounts(dict):
         self.trie = PrefixTrie(scores)
 
     def __missing__(self, word: str) -> int:
-        if len(self.trie.best) >= MAX_NODES:
-            self.trie.clear()
-            self.clear()
-        raw = word.encode()
-        count = self.trie.insert(raw)
-        if len(raw) <= MAX_SHARED:
+        count = self.trie.insert(word.encode())
+        if len(self) < self.trie.max_nodes // 2:
             self[word] = count
         return count
 
@@ -88,7 +82,7 @@ def count_tokens(docs: DataFrame, scores: dict[bytes, float], pattern: str,
 
 
     Every single byte must have a score, so that each text has a segmentation. A trie lives as
-    long as its task and is bounded in nodes. Nothing is shuffled. Repeated rows are counted
+    long as its task and is bounded in nodes; beyond the bound prefixes are scored anew. Nothing is shuffled. Repeated rows are counted
     each; columns of the input with these names are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(scores)
