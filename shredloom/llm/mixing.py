@@ -54,7 +54,7 @@ def mix(docs: DataFrame, size: Column, source: str = "source", doc_id: str = "do
 
     With target / size = q, each document of a source is taken floor(q) whole times; the
     fraction left goes to documents in seeded order until the next would exceed the target,
-    then to the largest single documents that still fit, one per refinement. Documents are
+    then to the single documents that come nearest to it, one per refinement. Documents are
     never cut, none is taken more than `max_epochs` times, and a rerun takes the same ones.
 
     Null sources form a source, after all others. Null and empty texts have size 0. A source
@@ -112,10 +112,11 @@ def draw(rows: DataFrame, targets: DataFrame, seed: int, refinements: int) -> Da
                            (F.col("_need") - F.col("_got")).alias("_left"))
         fit = placed.where(~F.col("_in")).drop("_need").join(
             broadcast_if_small(left), F.col("source").eqNullSafe(F.col("_of"))).where(
-            (F.col("_size") > 0) & (F.col("_size") <= F.col("_left"))
+            (F.col("_size") > 0) & (F.col("_size") < 2 * F.col("_left"))
             & ~F.array_contains("_extra", F.col("_place")))
-        best = fit.groupBy(F.col("source").alias("_p")).agg(
-            F.max(F.struct("_size", "_place")).alias("_best"))
+        best = fit.groupBy(F.col("source").alias("_p")).agg(F.min(F.struct(
+            F.abs(F.col("_left") - F.col("_size")).alias("_miss"), "_place", "_size")).alias(
+            "_best"))
         plan = plan.join(best, F.col("source").eqNullSafe(F.col("_p")), "left").withColumns({
             "_got": F.col("_got") + F.coalesce(F.col("_best._size"), F.lit(0)),
             "_extra": F.when(F.col("_best").isNull(), F.col("_extra")).otherwise(
