@@ -3,39 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-PROFILE = T.StructType([
-    T.StructField("table_name", T.StringType()), T.StructField("n_rows", T.LongType()),
-    T.StructField("n_cols", T.IntegerType()), T.StructField("error", T.StringType())])
+PROFILE = "table_name string, n_rows long, n_cols int, error string"
 
 Tables = Mapping[str, DataFrame | Callable[[], DataFrame]]
 
 
-def profile_tables(spark: SparkSession, tables: Tables) -> DataFrame:
-    """Rows and columns of each table; one that cannot be opened has nulls and the reason.
+def profile_tables(spark: SparkSession, tables: Tables, first_rows: int = 0) -> DataFrame:
+    """Rows and columns of each table; one that cannot be opened or read has nulls and the reason.
 
-    A table is a DataFrame or a function that opens one.
+    A table is a DataFrame or a function that opens one. With `first_rows`, so many of its first
+    rows come along as JSON, as they lie.
     """
-    parts, broken = [], []
+    found = []
     for name, table in tables.items():
         try:
             df = table if isinstance(table, DataFrame) else table()
-            width = len(df.columns)
+            head = df.select(F.to_json(F.struct("*"))).limit(first_rows).collect() if (
+                first_rows) else []
+            found.append((name, df.count(), len(df.columns), None, [row[0] for row in head]))
         except PySparkException as problem:
-            broken.append((name, None, None, str(problem)))
-            continue
-        parts.append(df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(name).alias("table_name"), "n_rows", F.lit(width).alias("n_cols"),
-            F.lit(None).cast("string").alias("error")))
-    if broken or not parts:
-        parts.append(spark.createDataFrame(broken, PROFILE))
-    return reduce(DataFrame.unionByName, parts).orderBy("table_name")
+            found.append((name, None, None, str(problem), None))
+    schema = PROFILE + (", first_rows array<string>" if first_rows else "")
+    rows = found if first_rows else [row[:4] for row in found]
+    return spark.createDataFrame(rows, schema).orderBy("table_name")
 
 
 def preview_table(tables: Mapping[str, DataFrame], name: str, n: int = 25) -> DataFrame:

@@ -34,10 +34,21 @@ KEY_PATHS: dict[str, tuple[str, ...]] = {
         "/Return/ReturnHeader/AmendedReturnInd",
         "/Return/ReturnData/IRS990/AmendedReturnInd",
         "/Return/ReturnData/IRS990EZ/AmendedReturnInd",
+        "/Return/ReturnHeader/AmendedReturn",
+        "/Return/ReturnData/IRS990/AmendedReturn",
+        "/Return/ReturnData/IRS990EZ/AmendedReturn",
+    ),
+    "IS_GROUP": (
+        "/Return/ReturnData/IRS990/GroupReturnForAffiliatesInd",
+        "/Return/ReturnData/IRS990/GroupReturnForAffiliates",
     ),
-    "IS_GROUP": ("/Return/ReturnData/IRS990/GroupReturnForAffiliatesInd",),
     "IS_PARTIAL": (),
 }
+# The period of a return; one shorter than a year makes it partial.
+PERIOD_PATHS = {
+    "begin": ("/Return/ReturnHeader/TaxPeriodBeginDt", "/Return/ReturnHeader/TaxPeriodBeginDate"),
+    "end": ("/Return/ReturnHeader/TaxPeriodEndDt", "/Return/ReturnHeader/TaxPeriodEndDate"),
+}
 
 
 def parse_filings(filings: DataFrame, parent_text: bool = True,
@@ -114,15 +125,24 @@ def shred_attributes(filings: DataFrame, **options) -> DataFrame:
 
 
 def keys_of(rows: DataFrame, key_paths: Mapping[str, Sequence[str]] = KEY_PATHS) -> DataFrame:
-    """KEYS out of stored rows: one row per filing. Only the rows read are shuffled."""
-    wanted = sorted({path for paths in key_paths.values() for path in paths})
+    """KEYS out of stored rows: one row per filing. Only the rows read are shuffled.
+
+    IS_PARTIAL without paths of its own is "X" for a period that ends before its year is over.
+    """
+    wanted = sorted({path for paths in (*key_paths.values(), *PERIOD_PATHS.values())
+                     for path in paths})
     root = F.col("ORDER") == 1
     carried = ["TaxYear"] if "TaxYear" in rows.columns else []
-    picked = []
-    for name, paths in key_paths.items():
+
+    def first_of(paths: Sequence[str]) -> Column:
         found = [F.max(F.when(F.col("XPATH2") == path, F.col("VALUE"))) for path in paths]
-        value = F.coalesce(*found) if found else F.lit(None).cast("string")
-        picked.append(value.alias(name))
+        return F.coalesce(*found) if found else F.lit(None).cast("string")
+
+    begin, end = (F.to_date(F.try_to_timestamp(first_of(PERIOD_PATHS[k]), F.lit("yyyy-MM-dd")))
+                  for k in ("begin", "end"))
+    short = F.when(F.date_add(end, 1) < F.add_months(begin, 12), F.lit("X"))
+    picked = [(short if name == "IS_PARTIAL" and not paths else first_of(paths)).alias(name)
+              for name, paths in key_paths.items()]
     return (
         rows.where(F.col("ERROR").isNull() & (root | F.col("XPATH2").isin(wanted)))
         .select(*carried, "OBJECTID", "XPATH2", "ORDER", "URL",

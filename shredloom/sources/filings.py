@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shredloom import schemas
@@ -15,8 +15,16 @@ def read_filings(spark: SparkSession, path: str | list[str], base: str | None =
 
     The URL is the file's path, or `base` and the file's name.
     """
-    # `wholetext` only works as the keyword argument; as an option it is reset.
-    return _named(spark.read.text(path, wholetext=True), base)
+    files = spark.read.format("binaryFile").load(path)
+    return _named(files.withColumn("value", as_declared(F.col("content"))), base)
+
+
+def as_declared(content: Column) -> Column:
+    """The text of an XML file by the encoding it declares: UTF-8, ISO-8859-1 or US-ASCII."""
+    head = F.decode(F.substring(content, 1, 200), "ISO-8859-1")
+    declared = F.upper(F.regexp_extract(head, r"""^<\?xml[^>]*encoding\s*=\s*["']([^"']+)""", 1))
+    return F.when(declared.isin("ISO-8859-1", "LATIN1", "US-ASCII"),
+                  F.decode(content, "ISO-8859-1")).otherwise(content.cast("string"))
 
 
 def read_filing_stream(spark: SparkSession, path: str, base: str | None = None) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shredloom import schemas
+from shredloom.operators.identity import matched
 from shredloom.operators.shred import attributes_of, failures_of, keys_of, long_rows
 from shredloom.session import path_exists
 
@@ -61,16 +62,28 @@ class LongStore:
             rows = rows.where(F.col("TaxYear").isin([str(year) for year in years]))
         if name == "FLATXML":
             rows = rows.where(F.col("STATUS") == "ok")
+        if name == "FAILED_URLS":
+            rows = self._still_failed(rows, years)
         return rows.select(*USER_COLUMNS[name].fieldNames(), "TaxYear")
 
+    def _still_failed(self, rows: DataFrame, years) -> DataFrame:
+        """One dead letter per document and year, without those stored since."""
+        once = rows.groupBy("TaxYear", "url").agg(
+            F.min(F.struct("stage", "reason")).alias("why")).select(
+            "TaxYear", "url", "why.stage", "why.reason")
+        done = self.table("KEYS", years).select("TaxYear", F.col("URL").alias("url"))
+        return matched(once, done, ["TaxYear", "url"], "left_anti")
+
     def has_batch(self, batch: str) -> bool:
         return not self.commits().where(F.col("BATCH") == batch).isEmpty()
 
     def append(self, filings: DataFrame, crosswalk: DataFrame | None = None,
-               batch: str | None = None, **options) -> dict[str, int] | None:
+               batch: str | None = None, refused: DataFrame | None = None,
+               **options) -> dict[str, int] | None:
         """Shreds filings `(url, xml, TaxYear)` into the store; returns the counts.
 
         With a `batch` id of the caller's, a batch finished before is left alone (None).
+        `refused` are documents that get dead letters unread: `(TaxYear, url, stage, reason)`.
         """
         if batch is None:
             batch = uuid.uuid4().hex
@@ -92,7 +105,9 @@ class LongStore:
             self._batch_path("FLATXML", batch))
         good = stored.where(F.col("STATUS") == "ok")
         self._write("ATTRIBUTES", batch, attributes_of(good))
-        self._write("FAILED_URLS", batch, failures_of(stored.where(F.col("STATUS") == "failed")))
+        failures = failures_of(stored.where(F.col("STATUS") == "failed"))
+        self._write("FAILED_URLS", batch, failures if refused is None else failures.unionByName(
+            refused.withColumn("TaxYear", F.col("TaxYear").cast("string"))))
         self._write("KEYS", batch, keys_of(good).observe(
             keyed, F.count(F.lit(1)).alias("n_filings")))
 
@@ -107,6 +122,10 @@ class LongStore:
     def _write(self, table: str, batch: str, rows: DataFrame) -> None:
         rows.write.mode("overwrite").partitionBy("TaxYear").parquet(self._batch_path(table, batch))
 
+    def tables(self) -> list[str]:
+        """The tables that have been written, in order of name."""
+        return [name for name in sorted(TABLES) if path_exists(self.spark, self.path(name))]
+
     def open(self, years: list[int | str] | None = None) -> DataFrame:
         """Registers flatxml, attributes and keys as views; returns how many returns there are."""
         for name in ("FLATXML", "ATTRIBUTES", "KEYS"):
