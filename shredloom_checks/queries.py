@@ -469,13 +469,13 @@ def header_rows_legacy(spark, sf):
 
 @query
 def flatten_table(spark, sf):
-    return wide.flatten_table(flat(spark, sf), fx.HEADER_TABLE,
+    return wide.flatten_table(flat(spark, sf).drop("TaxYear"), fx.HEADER_TABLE,
                               wide.variable_order(fx.concordance(spark), fx.HEADER_TABLE))
 
 
 @query
 def flatten_table_observed(spark, sf):
-    return wide.flatten_table(flat(spark, sf), fx.HEADER_TABLE)
+    return wide.flatten_table(flat(spark, sf).drop("TaxYear"), fx.HEADER_TABLE)
 
 
 @query
@@ -491,7 +491,7 @@ def pivot_duplicates(spark, sf):
 @query
 def add_keys(spark, sf):
     """Keys of even orders only: the other rows stay, without keys."""
-    small = wide.flatten_table(flat(spark, sf), fx.HEADER_TABLE, ["OF_00_TOTAL", "OF_00_FORM"])
+    small = wide.flatten_table(flat(spark, sf).drop("TaxYear"), fx.HEADER_TABLE, ["OF_00_TOTAL", "OF_00_FORM"])
     some = even(keys(spark, sf)).select("OBJECTID", "URL", "VERSION")
     return wide.add_keys(small, some, ["OF_00_FORM", "OF_00_TOTAL"])
 
