@@ -28,6 +28,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(spark: SparkSession, path: str) -> None:
+    """Removes a table that `stored` wrote and nothing reads any more."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """The same rows with their lineage cut by a checkpoint in the shared folder."""
     shared_dir(df.sparkSession)

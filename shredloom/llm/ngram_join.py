@@ -128,8 +128,7 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     classes = settled(full.groupBy("key").agg(
         F.min("doc_id").alias("least"), F.first("n").alias("n")).withColumn(
         "node", F.monotonically_increasing_id()))
-    links = class_links(docs, rows, classes, doc_id, text, length, percent)
-    parts = connected_components(links)
+    parts = class_components(docs, rows, classes, doc_id, text, length, percent)
     labelled = classes.join(small(settled(parts)), "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     named = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
@@ -140,27 +139,28 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         "component_id"))
 
 
-def class_links(docs: DataFrame, rows: DataFrame, classes: DataFrame, doc_id: str, text: str,
-                length: int, percent: int) -> DataFrame:
-    """(a, b) of classes: enough of their links to hold every component together."""
+def class_components(docs: DataFrame, rows: DataFrame, classes: DataFrame, doc_id: str,
+                     text: str, length: int, percent: int) -> DataFrame:
+    """(node, component) of every class that links to another."""
     firsts = rows.join(small(classes.select("key", "least", "node")), "key").where(
         F.col("doc_id").eqNullSafe(F.col("least")))
     signed = unpacked(firsts)
     # Nearly all signatures are met once; the rest are few.
-    shared = stored(signed.groupBy("sig").agg(
-        F.min("node").alias("first"), F.count(F.lit(1)).alias("members")).where(
-        F.col("members") > 1).select("sig", "first"), "shared-signatures")
-    members = stored(signed.join(shared, "sig").select("sig", "first", "node"), "members")
+    shared = stored(signed.groupBy("sig").agg(F.count(F.lit(1)).alias("members")).where(
+        F.col("members") > 1).select("sig"), "shared-signatures")
+    sizes = classes.select("node", "n")
+    members = promising(stored(signed.join(shared, "sig"), "members"), sizes, percent)
+    hubs = members.groupBy("sig").agg(F.min("node").alias("first"))
+    members = stored(members.join(hubs, "sig"), "members")
     pairs = settled(members.where(F.col("node") != F.col("first")).select(
         F.col("first").alias("a"), F.col("node").alias("b")).distinct())
     sets = stored(sets_of(docs, classes, pairs, doc_id, text, length, percent), "sets")
     one, two = (sets.select(F.col("node").alias(c), F.col("data").alias(f"{c}_data"))
                 for c in ("a", "b"))
-    sized = classes.select("node", "n")
-    close = pairs.join(sized.toDF("a", "a_n"), "a").join(sized.toDF("b", "b_n"), "b").where(
+    close = pairs.join(sizes.toDF("a", "a_n"), "a").join(sizes.toDF("b", "b_n"), "b").where(
         100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")).select("a", "b")
-    links = settled(close.join(two, "b").join(one, "a").where(
-        enough_common(percent)("a_data", "b_data")).select("a", "b"))
+    links = close.join(two, "b").join(one, "a").where(
+        enough_common(percent)("a_data", "b_data")).select("a", "b")
 
     parts = settled(connected_components(links))
     placed = members.where(F.col("node") != F.col("first")).join(
@@ -168,12 +168,30 @@ def class_links(docs: DataFrame, rows: DataFrame, classes: DataFrame, doc_id: st
         "sig", "node", F.coalesce("component", "node").alias("component"))
     # What a signature's first class left apart, and other classes could still join.
     apart = placed.groupBy("sig").agg(
-        F.min("node").alias("hub"), F.min("component").alias("low"),
-        F.max("component").alias("high")).where(F.col("low") < F.col("high")).select("sig", "hub")
-    open_members = settled(placed.join(apart, "sig").select(
-        "hub", "node", "component").distinct())
-    clusters = settled(connected_components(open_members, "hub", "node"))
-    return links.union(tile_links(clusters, open_members, sets, percent))
+        F.min("component").alias("low"), F.max("component").alias("high")).where(
+        F.col("low") < F.col("high")).select("sig")
+    left = promising(stored(placed.join(apart, "sig"), "members"), sizes, percent)
+    hubs = left.groupBy("sig").agg(F.min("node").alias("hub"))
+    left = settled(left.join(hubs, "sig").select("hub", "node", "component").distinct())
+    clusters = settled(connected_components(left, "hub", "node"))
+    # Later links are between components, so only those need to be joined again.
+    joined = settled(connected_components(tile_links(clusters, left, sets, percent)).toDF(
+        "component", "wider"))
+    both = parts.join(small(joined), "component", "left").select(
+        "node", F.coalesce("wider", "component").alias("component"))
+    lone = joined.join(parts.select(F.col("node").alias("component")), "component", "left_anti")
+    return both.union(lone)
+
+
+def promising(members: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """The rows (sig, node, …) without the classes that can be in no further similar pair.
+
+    Large enough sets share two signatures with any similar one: a class with one alone goes.
+    """
+    counts = members.groupBy("node").agg(F.count(F.lit(1)).alias("_signatures"))
+    good = settled(counts.join(sizes, "node").where(
+        (F.col("_signatures") > 1) | (F.col("n") < PartEnum(percent).two_from)).select("node"))
+    return members.join(small(good), "node", "left_semi")
 
 
 def sets_of(docs: DataFrame, classes: DataFrame, pairs: DataFrame, doc_id: str, text: str,

@@ -50,13 +50,16 @@ class PartEnum:
 
     Sizes are cut into bands. Sets of one band, and those of the band below that are not too
     small for it, differ in at most k features if they are similar. Features are dealt into
-    k + 1 + spare parts, so that at least spare + 1 parts agree in full, and each part that is
+    k + r + spare parts, so that at least r + spare parts agree in full, and each part that is
     not empty gives a signature. A pair can share empty parts only where both are empty: while
-    one of the two sets has no more than `spare` empty parts, a part with features agrees.
+    one of the two sets has no more than `spare` empty parts, r parts with features agree.
     Sets with more empty parts are dealt again by another seed, and after the last seed their
-    empty parts give signatures too.
+    empty parts give signatures too. r is 2, so that one chance agreement is not enough, but 1
+    in the bands below `two_from`, whose few parts would become too small.
     """
 
+    TWO_PARTS = 4  # smallest k with r = 2
+
     def __init__(self, percent: int, growth: float = 1.3):
         self.percent, self.growth = percent, growth
 
@@ -80,7 +83,16 @@ class PartEnum:
         smallest = self.reaching(number)
         empty = (k + 1) * math.exp(-smallest / (k + 1))
         spare = int(empty + 2 * math.sqrt(empty)) if k >= 8 else 0
-        return k + 1 + spare, spare
+        return k + (2 if k >= self.TWO_PARTS else 1) + spare, spare
+
+    @property
+    def two_from(self) -> int:
+        """Smallest size whose sets share two signatures with every similar one of its bands."""
+        number = 0
+        while 2 * self.band(number)[1] * (100 - self.percent) // (100 + self.percent) < (
+                self.TWO_PARTS):
+            number += 1
+        return self.band(number)[0]
 
     def reaching(self, number: int) -> int:
         """Smallest size whose sets can be similar to one of the band."""
