@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ def profile_tables(spark: SparkSession, tables: Tables, first_rows: int = 0) ->
             head = df.select(F.to_json(F.struct("*"))).limit(first_rows).collect() if (
                 first_rows) else []
             found.append((name, df.count(), len(df.columns), None, [row[0] for row in head]))
-        except PySparkException as problem:
+        except (PySparkException, Py4JJavaError) as problem:
             found.append((name, None, None, str(problem), None))
     schema = PROFILE + (", first_rows array<string>" if first_rows else "")
     rows = found if first_rows else [row[:4] for row in found]

@@ -350,3 +350,13 @@ SQL: dict[str, str] = {
     "process_xpaths": _report(),
     "write_xpath_reports": _report(),
 }
+
+SQL["update_stream_two_sources"] = SQL["shred_elements"]
+SQL["read_filings"] = "SELECT page_id, md5(regexp_replace(html, '\\n$', '')) AS md5 FROM pages"
+SQL["list_tables"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) AS n_rows, 'view' AS src FROM {name}"
+    for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+                 "documents", "embeddings", "pages", "benchmark", "labels", "conversations"))
+SQL["mismatches"] = f"""{_SHARD_COUNTS}
+  SELECT 'FLATXML' AS table_name, CAST(sum(ne) - sum(nk) AS BIGINT) AS main_rows,
+    CAST(sum(ne) AS BIGINT) AS worker_sum, CAST(4 AS BIGINT) AS n_workers, 'false' AS match FROM s"""

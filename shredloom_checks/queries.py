@@ -350,6 +350,16 @@ def validate_merge(spark, sf):
         "match", F.col("match").cast("string"))
 
 
+@query
+def mismatches(spark, sf):
+    """The tables whose rows do not add up, of a merge that lost the first elements."""
+    parts = shards(spark, sf)
+    merged = merge.merge_shards(parts)
+    merged["FLATXML"] = merged["FLATXML"].where(F.col("ORDER") > 1)
+    return merge.mismatches(merge.validate_merge(merged, parts)).withColumn(
+        "match", F.col("match").cast("string"))
+
+
 @query
 def merge_update(spark, sf):
     """Even orders updated with every filing: the even ones come again and change nothing."""
@@ -446,6 +456,40 @@ def update_stream(spark, sf):
     return yearly_counts(store)
 
 
+@query
+def update_stream_two_sources(spark, sf):
+    """Two landings, each with its own checkpoint, fill one store with default arguments."""
+    root = scratch_path(spark, "streams")
+    store = LongStore(spark, f"{root}/store")
+    docs = fx.landed(spark, sf)
+    for part in (0, 1):
+        docs.where(F.col("o_orderkey") % 2 == part).select("url", "xml", "TaxYear").write.parquet(
+            f"{root}/landing{part}")
+        stream = spark.readStream.schema("url string, xml string, TaxYear string").parquet(
+            f"{root}/landing{part}")
+        start_update(stream, store, f"{root}/offsets{part}", fx.concordance(spark)).awaitTermination()
+    return store.table("FLATXML").drop("TaxYear")
+
+
+@query
+def read_filings(spark, sf):
+    """Web pages as one file each, read back as documents."""
+    path = scratch_path(spark, "files")
+    fx.read(spark, sf, "pages").select("html", "page_id").write.partitionBy("page_id").text(path)
+    got = landing.read_filings(spark, f"{path}/page_id=*")
+    page = F.regexp_extract("url", r"page_id=(\d+)", 1).cast("long")
+    return got.select(page.alias("page_id"), F.md5(F.regexp_replace("xml", "\n$", "")).alias("md5"))
+
+
+@query
+def list_tables(spark, sf):
+    """The given tables as views, listed, with their rows."""
+    for name in DRIVER_TABLES:
+        fx.read(spark, sf, name).createOrReplaceTempView(name)
+    listed = [name for name in tables.list_tables(spark) if name in DRIVER_TABLES]
+    return merge.count_tables({name: spark.table(name) for name in listed}, "view")
+
+
 # -- wide tables ----------------------------------------------------------------------------
 
 @query

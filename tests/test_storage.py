@@ -3,10 +3,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
-from shredloom.operators import filing_index, merge
+from shredloom.operators import filing_index, merge, profile
 from shredloom.plans import jobs
 from shredloom.sources import tables
-from shredloom.sources.filings import read_filing_stream
+from shredloom.sources.filings import read_filing_stream, read_filings
 from shredloom.sources.store import LongStore, open_snapshot
 from shredloom.streaming.updates import update_stream
 
@@ -191,3 +191,76 @@ def test_one_url_may_belong_to_two_years(spark, folder):
         ("2020", "OID-1"), ("2020", "OID-2"), ("2021", "OID-2")]
     assert jobs.build_years(store, filings(spark, 1, 2), listed, [2020, "2021"]) is None
     assert store.table("FLATXML", [2021]).count() == 2
+
+
+def test_streams_with_default_names_lose_nothing(spark, tmp_path):
+    store = LongStore(spark, str(tmp_path / "store"))
+    for n, numbers in enumerate(((1, 2), (3, 4), (1, 2))):
+        path = str(tmp_path / f"landing{n}")
+        landed = filings(spark, *numbers).withColumn("TaxYear", F.lit("2021" if n == 2 else "2020"))
+        landed.write.parquet(path)
+        stream = spark.readStream.schema(landed.schema).parquet(path)
+        update_stream(stream, store, str(tmp_path / f"offsets{n}")).awaitTermination()
+    assert rows(store.table("KEYS").select("TaxYear", "OBJECTID")) == [
+        ("2020", f"OID-{i}") for i in (1, 2, 3, 4)] + [("2021", "OID-1"), ("2021", "OID-2")]
+
+
+def test_a_filing_in_two_years_and_one_without_in_one_batch(spark, tmp_path):
+    store, path = LongStore(spark, str(tmp_path / "store")), str(tmp_path / "landing")
+    landed = filings(spark, 1).crossJoin(spark.createDataFrame(
+        [("2020",), ("2021",), (None,)], "TaxYear string"))
+    landed.write.parquet(path)
+    stream = spark.readStream.schema(landed.schema).parquet(path)
+    for checkpoint in ("one", "reset"):
+        update_stream(stream, store, str(tmp_path / checkpoint)).awaitTermination()
+    assert rows(store.table("KEYS").select("TaxYear")) == [("2020",), ("2021",), (None,)]
+
+
+def test_two_documents_with_one_id_are_not_mixed(spark, folder):
+    store = LongStore(spark, folder)
+    other = "https://filings.example.org/other/1_public.xml"
+    two = filings(spark, 1).unionByName(spark.createDataFrame(
+        [(other, "<Return><b>2</b></Return>")], "url string, xml string"))
+    listed = index(spark, 1).unionByName(spark.createDataFrame(
+        [(other, "2020", "990")], "URL string, TaxYear string, FormType string"))
+    for _ in range(3):
+        jobs.update_year(store, two, 2020, listed)
+        assert store.table("FLATXML").count() == 2 and store.table("KEYS").count() == 1
+        assert [(row.stage, BASE in row.reason) for row in store.table("FAILED_URLS").collect()] == [
+            ("identity", False)]
+
+
+def test_dead_letters_are_unique_and_go_once_stored(spark, folder):
+    store, listed = LongStore(spark, folder), index(spark, 1, 2)
+    for _ in range(2):
+        jobs.update_year(store, filings(spark, 1, broken=[2]), 2020, listed)
+    assert store.table("FAILED_URLS").count() == 1
+    jobs.update_year(store, filings(spark, 1, 2), 2020, listed)
+    assert store.table("FAILED_URLS").isEmpty() and ids(store) == ["OID-1", "OID-2"]
+
+
+def test_merge_update_keeps_a_second_year(spark):
+    def side(*years):
+        return {"KEYS": spark.createDataFrame([(y, "OID-1") for y in years], "TaxYear string, OBJECTID string")}
+    assert rows(merge.merge_update(side("2020"), side("2020", "2021"))["KEYS"]) == [
+        ("2020", "OID-1"), ("2021", "OID-1")]
+
+
+def test_files_are_read_by_their_declared_encoding(spark, tmp_path):
+    (tmp_path / "a.xml").write_bytes(
+        '<?xml version="1.0" encoding="ISO-8859-1"?><r>é</r>'.encode("latin-1"))
+    (tmp_path / "b.xml").write_bytes("<r>é</r>".encode())
+    got = read_filings(spark, str(tmp_path), "x/")
+    assert {row.url: row.xml[-6:] for row in got.collect()} == {"x/a.xml": ">é</r>", "x/b.xml": ">é</r>"}
+
+
+def test_profile_survives_an_unreadable_table(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "good"))
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0.parquet").write_bytes(b"PAR1 this is no table PAR1")
+    schema = "id long"
+    found = profile.profile_tables(spark, {
+        name: spark.read.schema(schema).parquet(str(tmp_path / name)) for name in ("good", "bad")}, 2)
+    by = {row.table_name: row for row in found.collect()}
+    assert by["good"].n_rows == 3 and len(by["good"].first_rows) == 2 and by["good"].error is None
+    assert by["bad"].n_rows is None and by["bad"].error
