@@ -87,7 +87,10 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 class Labeller:
     """A bidirectional LSTM over block vectors with one output per block."""
 
-    def __init__(self, seed: int = SEED):
+    def __init__(self, seed: int = SEED, weights: dict[str, np.ndarray] | None = None):
+        if weights is not None:
+            self.weights = weights
+            return
         draw = np.random.default_rng(seed)
         dims = PATH_DIMS + WORD_DIMS + OTHER_DIMS
         self.weights = {}
@@ -411,11 +414,11 @@ def extract_main_text(pages: DataFrame, html: str = "html", name: str = "text",
     SAMPLE_CHARS, on the driver; pages are labelled where they lie, nothing is shuffled.
     """
     fitted = labeller or fit_labeller(sample_pages(pages, html))
-    shared = pages.sparkSession.sparkContext.broadcast(fitted)
+    shared = pages.sparkSession.sparkContext.broadcast(fitted.weights)
     rest = [c for c in pages.columns if c not in (html, name)]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(shared.value)
+        reader = Reader(Labeller(weights=shared.value))
         for batch in batches:
             for start in range(0, batch.num_rows, CHUNK):
                 rows = batch.slice(start, CHUNK)

@@ -136,14 +136,14 @@ def shard_documents(docs: DataFrame, hubs: Column, size: Column, n_shards: int =
                     seed: int = SEED) -> DataFrame:
     """`doc_id`, `size`, `text_crc32`, `law`, `shard`, `slot`, `grown_shard` of every document.
 
-    `hubs` gives the link keys of a document as array<long>. Null texts have a null checksum.
+    `hubs` gives the link keys of a document as array<long>. Null texts have the checksum of no bytes, 0.
     Repeated rows are documents of their own, and linked if their keys say so. Other columns of
     the input are left out. An empty table gives no rows.
     """
     rows = stored(docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"),
         size.cast("long").alias("size"),
-        F.crc32(F.encode(F.col(text), "utf-8")).cast("long").alias("text_crc32"),
+        F.crc32(F.encode(F.coalesce(F.col(text), F.lit("")), "utf-8")).cast("long").alias("text_crc32"),
         hubs.alias("hubs")), "shard-rows")
     return propagate(rows, n_shards, rounds, seed).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from functools import lru_cache
 
 import numpy as np
 import xxhash
@@ -62,12 +61,15 @@ class PartEnum:
 
     def __init__(self, percent: int, growth: float = 1.3):
         self.percent, self.growth = percent, growth
+        self.bands: list[tuple[int, int]] = []
+        self.shapes: dict[int, tuple[int, int]] = {}
 
-    @lru_cache(maxsize=None)
     def band(self, number: int) -> tuple[int, int]:
         """Smallest and largest size."""
-        low = 1 if number == 0 else self.band(number - 1)[1] + 1
-        return low, max(low, int(low * self.growth))
+        while len(self.bands) <= number:
+            low = self.bands[-1][1] + 1 if self.bands else 1
+            self.bands.append((low, max(low, int(low * self.growth))))
+        return self.bands[number]
 
     def band_of(self, size: int) -> int:
         number = 0
@@ -75,9 +77,13 @@ class PartEnum:
             number += 1
         return number
 
-    @lru_cache(maxsize=None)
     def parts(self, number: int) -> tuple[int, int]:
         """(parts, spare) of the partition that serves a band."""
+        if number not in self.shapes:
+            self.shapes[number] = self.shape(number)
+        return self.shapes[number]
+
+    def shape(self, number: int) -> tuple[int, int]:
         largest = self.band(number)[1]
         k = 2 * largest * (100 - self.percent) // (100 + self.percent)
         smallest = self.reaching(number)
