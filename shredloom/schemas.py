@@ -44,6 +44,9 @@ COMMITS = T.StructType([
     T.StructField("n_failed", T.LongType()),
     T.StructField("n_elements", T.LongType()),
 ])
+# What is stored: a compaction also names the batches it takes the place of.
+COMMITS_STORED = T.StructType([
+    *COMMITS.fields, T.StructField("REPLACES", T.ArrayType(T.StringType()))])
 
 CONCORDANCE = T.StructType(_strings(
     "xpath", "variable_name", "rdb_relationship", "rdb_table", "label", "description",

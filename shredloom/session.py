@@ -59,3 +59,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     context = spark.sparkContext
     place = context._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Deletes a path with all below it, if it is there."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)

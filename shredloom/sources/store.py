@@ -21,7 +21,9 @@ from pyspark.sql import types as T
 from shredloom import schemas
 from shredloom.operators.identity import matched
 from shredloom.operators.shred import attributes_of, failures_of, keys_of, long_rows
-from shredloom.session import path_exists
+from shredloom.session import path_exists, remove_path
+
+ROWS_PER_FILE = 4_000_000  # of a compacted table
 
 YEAR = T.StructField("TaxYear", T.StringType())
 BATCH = T.StructField("BATCH", T.StringType())
@@ -45,8 +47,14 @@ class LongStore:
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
+    def _all_commits(self) -> DataFrame:
+        return self._stored("COMMITS", schemas.COMMITS_STORED)
+
     def commits(self) -> DataFrame:
-        return self._stored("COMMITS", schemas.COMMITS)
+        """One row per finished batch that no compaction has replaced."""
+        commits = self._all_commits()
+        replaced = commits.select(F.explode("REPLACES").alias("BATCH"))
+        return commits.join(replaced, "BATCH", "left_anti").select(*schemas.COMMITS.fieldNames())
 
     def _stored(self, table: str, schema: T.StructType) -> DataFrame:
         if not path_exists(self.spark, self.path(table)):
@@ -75,7 +83,7 @@ class LongStore:
         return matched(once, done, ["TaxYear", "url"], "left_anti")
 
     def has_batch(self, batch: str) -> bool:
-        return not self.commits().where(F.col("BATCH") == batch).isEmpty()
+        return not self._all_commits().where(F.col("BATCH") == batch).isEmpty()
 
     def append(self, filings: DataFrame, crosswalk: DataFrame | None = None,
                batch: str | None = None, refused: DataFrame | None = None,
@@ -112,10 +120,54 @@ class LongStore:
             keyed, F.count(F.lit(1)).alias("n_filings")))
 
         counts = {**keyed.get, **shredded.get}
-        (self.spark.createDataFrame([(batch, *counts.values())], schemas.COMMITS)
+        self._commit(batch, counts, [])
+        return counts
+
+    def _commit(self, batch: str, counts: dict[str, int], replaces: list[str]) -> None:
+        row = (batch, counts["n_filings"], counts["n_failed"], counts["n_elements"], replaces)
+        (self.spark.createDataFrame([row], schemas.COMMITS_STORED)
          .coalesce(1).write.mode("append").parquet(self.path("COMMITS")))
+
+    def compact(self, rows_per_file: int = ROWS_PER_FILE) -> dict[str, int] | None:
+        """Rewrites all finished batches as one, in few files; None with fewer than two batches.
+
+        Rows are dealt by ranges of year, type, table and filing, so that a table's rows lie in
+        few files and scans skip the others. One commit row makes the new batch visible and the
+        old ones invisible; batches finished meanwhile stay as they are. `remove_replaced`
+        deletes the old files, once no reader has them open.
+        """
+        done = self.commits().collect()  # one row per batch
+        if len(done) < 2:
+            return None
+        counts = {name: sum(row[name] for row in done)
+                  for name in ("n_filings", "n_failed", "n_elements")}
+        old, batch = [row.BATCH for row in done], f"compact-{uuid.uuid4().hex}"
+        kept = F.col("BATCH").isin(old)
+        by = ("TaxYear", "STATUS", "TYPE", "RDB_TABLE", "OBJECTID", "ORDER")
+        flat = self._stored("FLATXML", T.StructType(TABLES["FLATXML"] + [YEAR, BATCH]))
+        (self._in_ranges(flat.where(kept).drop("BATCH"), by, counts["n_elements"], rows_per_file)
+         .write.mode("overwrite").partitionBy("TaxYear", "STATUS")
+         .parquet(self._batch_path("FLATXML", batch)))
+        for name, order, n in (("ATTRIBUTES", ("TaxYear", "OBJECTID"), counts["n_elements"]),
+                               ("KEYS", ("TaxYear", "OBJECTID"), counts["n_filings"]),
+                               ("FAILED_URLS", ("TaxYear", "url"), counts["n_failed"])):
+            rows = self._stored(name, T.StructType(TABLES[name] + [YEAR, BATCH]))
+            self._write(name, batch, self._in_ranges(
+                rows.where(kept).drop("BATCH"), order, n, rows_per_file))
+        self._commit(batch, counts, old)
         return counts
 
+    def _in_ranges(self, rows: DataFrame, by, count: int, per_file: int) -> DataFrame:
+        return rows.repartitionByRange(max(1, -(-count // per_file)), *by).sortWithinPartitions(*by)
+
+    def remove_replaced(self) -> list[str]:
+        """Deletes the files of batches that a compaction has replaced; returns their ids."""
+        gone = [row[0] for row in self._all_commits().select(F.explode("REPLACES")).collect()]
+        for batch in gone:
+            for name in TABLES:
+                remove_path(self.spark, self._batch_path(name, batch))
+        return gone
+
     def _batch_path(self, table: str, batch: str) -> str:
         return f"{self.path(table)}/BATCH={batch}"
 

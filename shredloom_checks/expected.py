@@ -352,6 +352,7 @@ SQL: dict[str, str] = {
 }
 
 SQL["update_stream_two_sources"] = SQL["shred_elements"]
+SQL["compact_store"] = SQL["shred_elements"]
 SQL["read_filings"] = "SELECT page_id, md5(regexp_replace(html, '\\n$', '')) AS md5 FROM pages"
 SQL["list_tables"] = " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, count(*) AS n_rows, 'view' AS src FROM {name}"

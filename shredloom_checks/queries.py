@@ -471,6 +471,21 @@ def update_stream_two_sources(spark, sf):
     return store.table("FLATXML").drop("TaxYear")
 
 
+@query
+def compact_store(spark, sf):
+    """Three batches and one unreadable landing, rewritten as one batch."""
+    store = LongStore(spark, scratch_path(spark, "compact"))
+    docs = fx.landed(spark, sf)
+    for part in range(3):
+        store.append(docs.where(F.col("o_orderkey") % 3 == part), fx.concordance(spark))
+    store.append(fx.broken(spark, sf).withColumn("TaxYear", F.lit("2000")), fx.concordance(spark))
+    store.compact()
+    store.remove_replaced()
+    if store.commits().count() != 1 or store.table("FAILED_URLS").isEmpty():
+        raise AssertionError("one batch with the dead letters must be left")
+    return store.table("FLATXML").drop("TaxYear")
+
+
 @query
 def read_filings(spark, sf):
     """Web pages as one file each, read back as documents."""

@@ -264,3 +264,20 @@ def test_profile_survives_an_unreadable_table(spark, tmp_path):
     by = {row.table_name: row for row in found.collect()}
     assert by["good"].n_rows == 3 and len(by["good"].first_rows) == 2 and by["good"].error is None
     assert by["bad"].n_rows is None and by["bad"].error
+
+
+def test_compaction_keeps_rows_in_few_files(spark, tmp_path):
+    store = LongStore(spark, str(tmp_path))
+    for i in (1, 2, 3, 4):
+        store.append(filings(spark, i, broken=[i + 10]).repartition(3).withColumn(
+            "TaxYear", F.lit("2020")), batch=f"b{i}")
+    tables_before = {name: rows(store.table(name)) for name in ("FLATXML", "KEYS", "ATTRIBUTES", "FAILED_URLS")}
+    assert store.compact() == {"n_filings": 4, "n_failed": 4, "n_elements": 8}
+    assert store.commits().count() == 1 and store.has_batch("b1")
+    assert {name: rows(store.table(name)) for name in tables_before} == tables_before
+    files = [p for p in (tmp_path / "FLATXML").rglob("part-*.parquet") if "BATCH=compact" in str(p)]
+    assert len(files) == 2  # one good and one failed
+    assert sorted(store.remove_replaced()) == ["b1", "b2", "b3", "b4"] and store.compact() is None
+    assert {name: rows(store.table(name)) for name in tables_before} == tables_before
+    store.append(filings(spark, 5).withColumn("TaxYear", F.lit("2020")))
+    assert store.compact()["n_filings"] == 5 and ids(store)[-1] == "OID-5"
