@@ -397,11 +397,18 @@ def fit_labeller(samples: list[str], layouts: int = LAYOUTS, seed: int = SEED) -
 
 def sample_pages(pages: DataFrame, html: str, rows: int = SAMPLE_PAGES,
                  chars: int = SAMPLE_CHARS) -> list[str]:
-    """At most `rows` pages of at most `chars` characters, the same ones in every run."""
-    found = pages.select(F.col(html).alias("html")).where(
-        F.length("html").between(1, chars)).withColumn("place", F.xxhash64("html")).orderBy(
-        "place").limit(rows).collect()
-    return [row.html for row in found]
+    """At most `rows` pages of at most `chars` characters, the same ones in every run.
+
+    The bound on their hashes is found from hashes alone; only the pages below it reach the
+    driver.
+    """
+    short = pages.select(F.col(html).alias("html"), F.xxhash64(html).alias("place")).where(
+        F.length("html").between(1, chars))
+    lowest = [row.place for row in short.select("place").orderBy("place").limit(rows).collect()]
+    if not lowest:
+        return []
+    found = short.where(F.col("place") <= lowest[-1]).select("html").limit(rows).collect()
+    return sorted(row.html for row in found)
 
 
 def extract_main_text(pages: DataFrame, html: str = "html", name: str = "text",
