@@ -67,6 +67,9 @@ def quality_rules(docs: DataFrame, text: str = "text",
     Null and empty texts have no words and are rejected. A line without a word is neither
     judged nor counted as lost; it stays in `clean_text`. Repeated rows are judged each on its
     own. Columns of the input with the names added here are replaced.
+
+    Store the result, or pass it through a generator, before filtering by what is added: Spark
+    moves a filter below the measures and then computes them again inside each other.
     """
     pieces, lines = "_q_pieces", "_q_lines"
     body = F.coalesce(F.col(text), F.lit(""))
