@@ -9,10 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shredloom.llm.common import settled, stored
+from shredloom.llm.common import dropped, settled, stored
 from shredloom.llm.components import connected_components
 from shredloom.llm.shingles import PartEnum, links_within, set_key, shingle_set, similar
 from shredloom.operators.sizing import fits_broadcast
+from shredloom.session import scratch_path
 
 LENGTH = 4
 PERCENT = 85
@@ -123,12 +124,15 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     null text, have size 0 and are their own component. Rows with one id are documents of their
     own; a null id takes part, and names a component only if no other id is in it.
     """
-    rows = stored(read_sets(docs, doc_id, text, length, percent, True), "shingle-sets")
+    signatures = scratch_path(docs.sparkSession, "signatures")
+    read_sets(docs, doc_id, text, length, percent, True).write.parquet(signatures)
+    signed = docs.sparkSession.read.parquet(signatures)
+    rows = stored(signed.select("doc_id", "n", "key"), "shingle-sets")
     full = rows.where(F.col("n") > 0)
     classes = settled(full.groupBy("key").agg(
         F.min("doc_id").alias("least"), F.first("n").alias("n")).withColumn(
         "node", F.monotonically_increasing_id()))
-    parts = class_components(docs, rows, classes, doc_id, text, length, percent)
+    parts = class_components(docs, signatures, classes, doc_id, text, length, percent)
     labelled = classes.join(small(settled(parts)), "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     named = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
@@ -139,17 +143,22 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         "component_id"))
 
 
-def class_components(docs: DataFrame, rows: DataFrame, classes: DataFrame, doc_id: str,
+def class_components(docs: DataFrame, signatures: str, classes: DataFrame, doc_id: str,
                      text: str, length: int, percent: int) -> DataFrame:
-    """(node, component) of every class that links to another."""
-    firsts = rows.join(small(classes.select("key", "least", "node")), "key").where(
+    """(node, component) of every class that links to another.
+
+    The table of all signatures is removed as soon as the shared ones are found.
+    """
+    firsts = docs.sparkSession.read.parquet(signatures).join(small(classes.select("key", "least", "node")), "key").where(
         F.col("doc_id").eqNullSafe(F.col("least")))
     signed = unpacked(firsts)
     # Nearly all signatures are met once; the rest are few.
     shared = stored(signed.groupBy("sig").agg(F.count(F.lit(1)).alias("members")).where(
         F.col("members") > 1).select("sig"), "shared-signatures")
     sizes = classes.select("node", "n")
-    members = promising(stored(signed.join(shared, "sig"), "members"), sizes, percent)
+    members = stored(signed.join(shared, "sig"), "members")
+    dropped(docs.sparkSession, signatures)
+    members = promising(members, sizes, percent)
     hubs = members.groupBy("sig").agg(F.min("node").alias("first"))
     members = stored(members.join(hubs, "sig"), "members")
     pairs = settled(members.where(F.col("node") != F.col("first")).select(
