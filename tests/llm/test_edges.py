@@ -16,7 +16,7 @@ from shredloom.llm.vocabulary import read_ranks
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = " ".join(f"word{i} and" for i in range(20_000)) + "."
-PROSE = " ".join(f"Plain words number {i} make a line." for i in range(12))
+PROSE = " ".join(f"Plain{i} words{i} number{i} make{i} a line." for i in range(12))
 # Names that the operators add, and helpers use, as columns of the input.
 CLASHES = ("size", "taken", "ids", "n_tokens", "kept", "n_words", "license", "shard", "slot",
            "n_lines", "n_dropped", "node", "key", "component", "row", "target", "repeats", "sig")
