@@ -13,7 +13,7 @@ from shredloom.operators.sizing import broadcast_if_small
 MAX_EPOCHS = 3
 CYCLE = (1, 2, 3)
 SEED = 8
-REFINEMENTS = 3
+TOLERANCE = 0.01  # of a target: a larger miss is worth another draw
 
 
 def cycling_weights(totals: DataFrame, cycle: Sequence[int] = CYCLE) -> DataFrame:
@@ -48,14 +48,16 @@ def water_fill(totals: DataFrame, budget: float, max_epochs: float = MAX_EPOCHS)
 
 
 def mix(docs: DataFrame, size: Column, source: str = "source", doc_id: str = "doc_id",
-        cycle: Sequence[int] = CYCLE, max_epochs: int = MAX_EPOCHS, seed: int = SEED,
-        refinements: int = REFINEMENTS) -> DataFrame:
+        cycle: Sequence[int] = CYCLE, max_epochs: int = MAX_EPOCHS, seed: int = SEED
+        ) -> DataFrame:
     """Adds `size`, `source_size`, `target`, `repeats` and `taken` (size times repeats).
 
     With target / size = q, each document of a source is taken floor(q) whole times; the
-    fraction left goes to documents in seeded order until the next would exceed the target,
-    then to the single documents that come nearest to it, one per refinement. Documents are
-    never cut, none is taken more than `max_epochs` times, and a rerun takes the same ones.
+    fraction left goes to documents in seeded order, each one that still fits, until none does,
+    then to the single document that comes nearest to the target. Where that misses by more
+    than TOLERANCE, because large documents found no room, the draw is made again around the
+    smallest of those, as long as this comes nearer. Documents are never cut, none is taken more
+    than `max_epochs` times, and a rerun takes the same ones.
 
     Null sources form a source, after all others. Null and empty texts have size 0. A source
     without any words has target 0 and is not taken. Rows repeated with one id in one source
@@ -65,10 +67,13 @@ def mix(docs: DataFrame, size: Column, source: str = "source", doc_id: str = "do
     added = [c for c in ("size", "source_size", "target", "repeats", "taken")
              if c not in (source, doc_id)]
     sized = docs.withColumn("_size", size.cast("long")).drop(*added)
+    kept = [c for c in sized.columns if c != "_size"]
     # Decisions are made on a few numbers per document; texts never move.
-    rows = sized.select(F.col(source).alias("source"), F.col(doc_id).alias("_id"), "_size")
+    units = settled(sized.groupBy(F.col(source).alias("source"), F.col(doc_id).alias("_id")).agg(
+        F.sum("_size").alias("_size"), F.count(F.lit(1)).alias("_rows")).withColumn(
+        "_place", place_of(F.col("_id"), seed)))
     totals = settled(cycling_weights(
-        rows.groupBy("source").agg(F.sum("_size").alias("source_size"))))
+        units.groupBy("source").agg(F.sum("_size").alias("source_size"))))
     budget = totals.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
     filled = water_fill(totals, float(budget), max_epochs)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -76,50 +81,122 @@ def mix(docs: DataFrame, size: Column, source: str = "source", doc_id: str = "do
     targets = settled(filled.withColumns({
         "_whole": whole,
         "_need": F.col("target") - whole * F.col("source_size")}))
-    plan = draw(rows, targets, seed, refinements).withColumnRenamed("source", "_of")
-    place = F.struct(order_key(F.col(doc_id), seed).alias("u"), F.col(doc_id).alias("id"))
-    extra = (F.coalesce(place <= F.col("_cut"), F.lit(False))
-             | F.coalesce(F.array_contains("_extra", place), F.lit(False)))
+    plan = draw(units.select("source", "_place", "_size"), targets).withColumnRenamed(
+        "source", "_of")
+    together = units.where(F.col("_rows") > 1).select(
+        F.col("source").alias("_us"), F.col("_id").alias("_ui"), F.col("_size").alias("_unit"))
+    if together.limit(1).count():
+        sized = sized.join(broadcast_if_small(together), F.col(source).eqNullSafe(F.col("_us"))
+                           & F.col(doc_id).eqNullSafe(F.col("_ui")), "left")
+    else:
+        sized = sized.withColumn("_unit", F.lit(None).cast("long"))
+    extra = drawn(place_of(F.col(doc_id), seed), F.coalesce("_unit", "_size"), "_extra")
     repeats = (F.col("_whole") + extra.cast("long")).cast("long")
     return sized.join(broadcast_if_small(plan), F.col(source).eqNullSafe(F.col("_of"))).select(
-        *[c for c in sized.columns if c != "_size"], F.col("_size").alias("size"),
+        *kept, F.col("_size").alias("size"),
         "source_size", "target", repeats.alias("repeats"),
         (F.col("_size") * repeats).alias("taken"))
 
 
-def order_key(doc_id: Column, seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), doc_id)
-
-
-def draw(rows: DataFrame, targets: DataFrame, seed: int, refinements: int) -> DataFrame:
-    """Per source: `_cut`, the last place of the seeded order taken once more, and `_extra`."""
-    units = rows.groupBy("source", "_id").agg(F.sum("_size").alias("_size")).withColumn(
-        "_place", F.struct(order_key(F.col("_id"), seed).alias("u"), F.col("_id").alias("id")))
-    summed = running_sum(units, ["source"], [F.col("_place")], F.col("_size"), "_before")
-    needs = targets.select(F.col("source").alias("_of"), "_need")
-    placed = settled(summed.join(
-        broadcast_if_small(needs), F.col("source").eqNullSafe(F.col("_of"))
-    ).select("source", "_place", "_size", "_need",
-             (F.col("_before") + F.col("_size") <= F.col("_need")).alias("_in")))
-    plan = targets.join(placed.groupBy(F.col("source").alias("_p")).agg(
-        F.max(F.when(F.col("_in"), F.col("_place"))).alias("_cut"),
-        F.sum(F.when(F.col("_in"), F.col("_size")).otherwise(0)).alias("_got")),
-        F.col("source").eqNullSafe(F.col("_p")), "left").withColumn(
-        "_extra", F.array().cast(f"array<{placed.schema['_place'].dataType.simpleString()}>"))
-    for _ in range(refinements):
-        plan = settled(plan.drop("_p"))
-        left = plan.select(F.col("source").alias("_of"), "_extra",
-                           (F.col("_need") - F.col("_got")).alias("_left"))
-        fit = placed.where(~F.col("_in")).drop("_need").join(
-            broadcast_if_small(left), F.col("source").eqNullSafe(F.col("_of"))).where(
-            (F.col("_size") > 0) & (F.col("_size") < 2 * F.col("_left"))
-            & ~F.array_contains("_extra", F.col("_place")))
-        best = fit.groupBy(F.col("source").alias("_p")).agg(F.min(F.struct(
-            F.abs(F.col("_left") - F.col("_size")).alias("_miss"), "_place", "_size")).alias(
-            "_best"))
-        plan = plan.join(best, F.col("source").eqNullSafe(F.col("_p")), "left").withColumns({
-            "_got": F.col("_got") + F.coalesce(F.col("_best._size"), F.lit(0)),
-            "_extra": F.when(F.col("_best").isNull(), F.col("_extra")).otherwise(
-                F.concat("_extra", F.array("_best._place"))),
-        }).drop("_best", "_p")
-    return settled(plan.select("source", "source_size", "target", "_whole", "_cut", "_extra"))
+def place_of(doc_id: Column, seed: int) -> Column:
+    """Place in the seeded order."""
+    return F.struct(F.xxhash64(F.lit(seed), doc_id).alias("u"), doc_id.alias("id"))
+
+
+def drawn(place: Column, size: Column, single: str) -> Column:
+    """Whether a rule or the list of single documents of the plan takes a document."""
+    by_rule = F.exists("_rules", lambda r: size.between(r["least"], r["most"])
+                       & (r["stop"].isNull() | (place < r["stop"])))
+    return F.coalesce(by_rule, F.lit(False)) | F.coalesce(
+        F.array_contains(single, place), F.lit(False))
+
+
+def draw(units: DataFrame, targets: DataFrame) -> DataFrame:
+    """Per source: `_rules` and `_extra`, which say what is taken once more (`drawn`)."""
+    kind = units.schema["_place"].dataType.simpleString()
+    plan = fill(units, targets.drop("weight").withColumns({
+        "_forced": F.array().cast(f"array<{kind}>"), "_room": F.col("_need"),
+        "_again": F.lit(True)}), kind)
+    while True:
+        missing = plan.where(F.col("_again") & (
+            F.abs("_left") > TOLERANCE * F.col("target")))
+        forced = smallest_left(units, missing, "_forced",
+                               F.col("_size") < F.col("_room") + F.abs("_left"))
+        tried = settled(missing.join(forced, F.col("source").eqNullSafe(F.col("_p"))).select(
+            "source", "source_size", "target", "_whole", "_need", "_again",
+            F.concat("_forced", F.array("_best._place")).alias("_forced"),
+            (F.col("_room") - F.col("_best._size")).alias("_room"),
+            F.abs("_left").alias("_miss")))
+        if not tried.limit(1).count():
+            break
+        tried = fill(units, tried, kind)
+        better = tried.where(F.abs("_left") < F.col("_miss")).drop("_miss")
+        names = tried.select(F.col("source").alias("_p"))
+        rest = plan.join(better.select(F.col("source").alias("_b")),
+                         F.col("source").eqNullSafe(F.col("_b")), "left_anti")
+        seen = rest.join(names.withColumn("_seen", F.lit(True)),
+                         F.col("source").eqNullSafe(F.col("_p")), "left").withColumn(
+            "_again", F.col("_again") & F.col("_seen").isNull()).drop("_p", "_seen")
+        plan = settled(seen.unionByName(better))
+    return plan.select("source", "source_size", "target", "_whole", "_rules", "_extra")
+
+
+def fill(units: DataFrame, plan: DataFrame, kind: str) -> DataFrame:
+    """Adds `_rules`, `_extra` and `_left`, what is missing, to sources that lack `_room`.
+
+    A round takes documents no larger than what is missing, in seeded order, up to the first
+    that does not fit (`stop`). It and all larger ones are passed over, and the next round goes
+    on behind it with those that still fit: together one walk through the order. What is missing
+    falls below the size of the document passed over, so the rounds are few.
+    """
+    rule = f"array<struct<least:int,most:double,stop:{kind}>>"
+    plan = plan.withColumns({
+        "_rules": F.array().cast(rule), "_left": F.col("_room").cast("double"),
+        "_stop": F.lit(None).cast(kind), "_open": F.lit(True)})
+    least = 0  # the first round deals with empty documents
+    while True:
+        left = plan.where("_open").select(F.col("source").alias("_of"), "_left", "_stop")
+        fit = units.join(broadcast_if_small(left), F.col("source").eqNullSafe(F.col("_of"))).where(
+            F.col("_size").between(F.lit(least), F.col("_left"))
+            & (F.col("_stop").isNull() | (F.col("_place") > F.col("_stop"))))
+        fit = without_forced(fit, plan)
+        summed = running_sum(fit, ["source"], [F.col("_place")], F.col("_size"), "_before")
+        fits = F.col("_before") + F.col("_size") <= F.col("_left")
+        found = settled(summed.groupBy(F.col("source").alias("_p")).agg(
+            F.sum(F.when(fits, F.col("_size")).otherwise(0)).alias("_got"),
+            F.min(F.when(~fits, F.col("_place"))).alias("_next")))
+        if not found.limit(1).count():
+            break
+        taken = F.array(F.struct(F.lit(least).alias("least"), F.col("_left").alias("most"),
+                                 F.col("_next").alias("stop")))
+        plan = settled(plan.join(
+            found, F.col("source").eqNullSafe(F.col("_p")), "left").withColumns({
+                "_rules": F.when(F.col("_got").isNull(), F.col("_rules")).otherwise(
+                    F.concat("_rules", taken.cast(rule))),
+                "_left": F.col("_left") - F.coalesce("_got", F.lit(0)),
+                "_stop": F.col("_next"), "_open": F.col("_next").isNotNull(),
+            }).drop("_p", "_got", "_next"))
+        least = 1
+    nearest = smallest_left(units, plan, "_forced", F.col("_size") < 2 * F.col("_left"))
+    return settled(plan.join(nearest, F.col("source").eqNullSafe(F.col("_p")), "left").withColumns({
+        "_extra": F.when(F.col("_best").isNull(), F.col("_forced")).otherwise(
+            F.concat("_forced", F.array("_best._place"))),
+        "_left": F.col("_left") - F.coalesce(F.col("_best._size"), F.lit(0)),
+    }).drop("_p", "_best", "_stop", "_open"))
+
+
+def without_forced(fit: DataFrame, plan: DataFrame) -> DataFrame:
+    """The rows that are not taken in any case."""
+    forced = plan.select(F.col("source").alias("_f"), F.explode("_forced").alias("_fp"))
+    return fit.join(broadcast_if_small(forced), F.col("source").eqNullSafe(F.col("_f"))
+                    & (F.col("_place") == F.col("_fp")), "left_anti")
+
+
+def smallest_left(units: DataFrame, plan: DataFrame, single: str, good: Column) -> DataFrame:
+    """(_p, _best): the smallest document of each source that is not taken yet, among the good."""
+    asked = plan.select(F.col("source").alias("_of"), "_rules", single, "_room", "_left")
+    return settled(units.join(
+        broadcast_if_small(asked), F.col("source").eqNullSafe(F.col("_of"))).where(
+        (F.col("_size") > 0) & good & ~drawn(F.col("_place"), F.col("_size"), single)
+    ).groupBy(F.col("source").alias("_p")).agg(
+        F.min(F.struct("_size", "_place")).alias("_best")))

@@ -149,3 +149,18 @@ def test_decoding_gives_the_text_back(spark, odd):
     got = coded.select("sha", F.sha2(bpe.decode(F.col("ids"), table, spark), 256).alias("back"))
     assert all(r.sha == r.back for r in got.collect())
     assert hashlib.sha256(b"").hexdigest() in {r.back for r in got.collect()}
+
+
+@pytest.mark.parametrize("cycle,seed", [((1, 4), 8), ((3, 2), 1)])
+def test_mixing_with_one_document_of_half_a_source(spark, cycle, seed):
+    draw = random.Random(4)
+    rows = [(k, s, draw.randint(1, 200)) for k, s in enumerate("ab" * 200)]
+    small = {s: sum(r[2] for r in rows if r[1] == s) for s in "ab"}
+    rows += [(1000, "a", small["a"]), (1001, "b", small["b"])]
+    rows += [(7, "b", 5), (7, "b", 3)]  # one id, drawn together
+    docs = spark.createDataFrame(rows, "doc_id long, source string, words long")
+    got = mixing.mix(docs, F.col("words"), cycle=cycle, seed=seed).cache()
+    for r in got.groupBy("source", "target").agg(F.sum("taken").alias("taken")).collect():
+        assert abs(r.taken - r.target) <= 0.001 * r.target
+    assert got.where("doc_id = 7").select("repeats").distinct().count() == 1
+    assert got.where("repeats > 3").count() == 0
