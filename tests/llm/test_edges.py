@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shredloom.llm import (
-    bpe, embedding_dedup, html_text, license_scan, line_dedup, mixing, ngram_join, quality,
-    sharding, token_counts)
+    bpe, embedding_dedup, html_blocks, html_text, license_scan, line_dedup, mixing, ngram_join,
+    quality, sharding, token_counts)
 from shredloom.llm.common import words
 from shredloom.llm.queries import tokenizers
 from shredloom.llm.vocabulary import read_ranks
@@ -164,3 +164,21 @@ def test_mixing_with_one_document_of_half_a_source(spark, cycle, seed):
         assert abs(r.taken - r.target) <= 0.001 * r.target
     assert got.where("doc_id = 7").select("repeats").distinct().count() == 1
     assert got.where("repeats > 3").count() == 0
+
+
+@pytest.mark.parametrize("html,want", [
+    ('<p>one</p><svg class="i"/><p>two</p><math/><p>three</p>', ["one", "two", "three"]),
+    ("<p>one <svg><path d='M0'/><style/><g></svg> two</p>three", ["one two", "three"]),
+    ("<p>one</p><object data=x><p>two</p>three", ["one", "two", "three"]),
+    ("<p>one</p><svg><g><p>two</p>three</svg>", ["one", "two", "three"]),
+    ("<p>if <math><mi>x</mi><mo>=</mo><mn>1</mn></math> then</p>", ["if x=1 then"]),
+    ("<p>one <noscript><img src=x></noscript>two <noscript>three</noscript> four</p>five",
+     ["one two", "three", "four", "five"]),
+    ("<p><svg><title>one</title><text>two</text></svg>three</p>", ["one two three"]),
+    ("<template><p>one</p></template><iframe src=x>two</iframe>", ["one", "two"]),
+    ("<svg><text>one</text><foreignObject><div>two</div></foreignObject></svg><p>three",
+     ["one", "two", "three"]),
+    ("a<script>x('<p>')</script >b<STYLE>p{}</style>c<script>no end<p>d", ["abc"]),
+])
+def test_blocks_lose_no_text_but_scripts_and_styles(html, want):
+    assert [text for _, text, _ in html_blocks.page_blocks(html)] == want
