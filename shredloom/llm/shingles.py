@@ -47,7 +47,7 @@ def set_key(features: np.ndarray) -> bytes:
 class PartEnum:
     """Signatures of which two sets with Jaccard similarity of percent/100 share at least one.
 
-    Sizes are cut into bands. Sets of one band, and those of the band below that are not too
+    Sizes are cut into bands. Sets of one band, and those of the bands below that are not too
     small for it, differ in at most k features if they are similar. Features are dealt into
     k + r + spare parts, so that at least r + spare parts agree in full, and each part that is
     not empty gives a signature. A pair can share empty parts only where both are empty: while
@@ -60,6 +60,8 @@ class PartEnum:
     TWO_PARTS = 4  # smallest k with r = 2
 
     def __init__(self, percent: int, growth: float = 1.3):
+        if not 0 < percent <= 100:
+            raise ValueError(f"percent is {percent}, must be above 0 and at most 100")
         self.percent, self.growth = percent, growth
         self.bands: list[tuple[int, int]] = []
         self.shapes: dict[int, tuple[int, int]] = {}
@@ -105,8 +107,10 @@ class PartEnum:
         return -(-self.band(number)[0] * self.percent // 100)
 
     def bands_for(self, size: int) -> list[int]:
-        own = self.band_of(size)
-        return [own, own + 1] if size >= self.reaching(own + 1) else [own]
+        numbers = [self.band_of(size)]
+        while size >= self.reaching(numbers[-1] + 1):
+            numbers.append(numbers[-1] + 1)
+        return numbers
 
     def signatures(self, sets: list[np.ndarray]) -> list[np.ndarray]:
         """Signatures of each set, none for an empty one."""

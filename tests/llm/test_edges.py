@@ -3,13 +3,14 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shredloom.llm import (
     bpe, embedding_dedup, html_blocks, html_text, license_scan, line_dedup, mixing, ngram_join,
-    quality, sharding, token_counts)
+    quality, sharding, shingles, token_counts)
 from shredloom.llm.common import words
 from shredloom.llm.queries import tokenizers
 from shredloom.llm.vocabulary import read_ranks
@@ -182,3 +183,22 @@ def test_mixing_with_one_document_of_half_a_source(spark, cycle, seed):
 ])
 def test_blocks_lose_no_text_but_scripts_and_styles(html, want):
     assert [text for _, text, _ in html_blocks.page_blocks(html)] == want
+
+
+@pytest.mark.parametrize("percent", [50, 60, 70, 75])
+def test_sets_of_distant_sizes_share_a_signature(percent):
+    draw, scheme = np.random.default_rng(percent), shingles.PartEnum(percent)
+    for size in [2, 4, 14, 20, 61, 81, *range(1, 300)]:
+        one = np.unique(draw.integers(0, 2**63, size, dtype=np.uint64))
+        more = draw.integers(0, 2**63, size * (100 - percent) // percent, dtype=np.uint64)
+        x, y = scheme.signatures([one, np.unique(np.concatenate([one, more]))])
+        assert len(np.intersect1d(x, y)), size
+
+
+def test_registered_percentages_sign_two_bands_at_most():
+    for percent in (80, 85):
+        scheme = shingles.PartEnum(percent)
+        for size in range(1, 3_000):
+            own = scheme.band_of(size)
+            assert scheme.bands_for(size) == (
+                [own, own + 1] if size >= scheme.reaching(own + 1) else [own])
