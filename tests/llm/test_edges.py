@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, repeated rows, empty tables and clashing columns, by operator."""
 
+import collections
 import hashlib
 import random
 
@@ -202,3 +203,16 @@ def test_registered_percentages_sign_two_bands_at_most():
             own = scheme.band_of(size)
             assert scheme.bands_for(size) == (
                 [own, own + 1] if size >= scheme.reaching(own + 1) else [own])
+
+
+def test_pipeline_near_copies_under_one_id(spark):
+    near_stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    other = " ".join(f"other{i} text{i} here{i}" for i in range(40))
+    third = " ".join(f"third{i} text{i} there{i}" for i in range(40))
+    data = [(1, PROSE), (5, PROSE + " Once more."), (5, other), (5, other), (6, other + " x"),
+            (None, third), (None, third + " y"), (None, third), (8, ""), (8, ""), (None, " ")]
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in data], SCHEMA)
+    left = collections.Counter(
+        (r.doc_id, (r.text.split() or [""])[0]) for r in near_stage(spark, docs, "").collect())
+    assert left == {(1, "Plain0"): 1, (5, "other0"): 1, (None, "third0"): 1, (8, ""): 2,
+                    (None, ""): 1}
