@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shredloom.llm import (
-    bpe, embedding_dedup, html_text, license_scan, line_dedup, mixing, ngram_join, quality,
+    bpe, embedding_dedup, html_text, license_scan, line_dedup, mixing, ngram_join, packing, quality,
     sharding, token_counts)
 from shredloom.llm.common import pieces, table
 from shredloom.llm.vocabulary import read_ranks
@@ -111,3 +111,14 @@ def op10_quality_rules(spark, sf):
     return quality.quality_rules(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept")
+
+
+@query
+def op13_packing(spark, sf):
+    """All documents in windows of 512 to 4,096 tokens, and the training step of each."""
+    with open(tokenizers().path("word_bpe_49k.json"), encoding="utf-8") as file:
+        vocabulary = file.read()
+    pieces = packing.pack_pieces(table(spark, sf, "documents"), vocabulary)
+    rest = [c for c in pieces.columns if c != "ids"]
+    return packing.number_sequences(
+        pieces.select(*rest, F.crc32("ids").alias("ids_crc32")))
