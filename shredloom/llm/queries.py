@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shredloom.llm import (
     bpe, embedding_dedup, html_text, license_scan, line_dedup, mixing, ngram_join, packing, quality,
-    sharding, token_counts)
+    sharding, token_counts, whitening)
 from shredloom.llm.common import pieces, table
 from shredloom.llm.vocabulary import read_ranks
 
@@ -113,6 +113,12 @@ def op10_quality_rules(spark, sf):
         "base_failed", "kept")
 
 
+@query
+def op12_whitening(spark, sf):
+    """All valid vectors on the 32 leading components, each with variance one."""
+    return whitening.whiten(table(spark, sf, "embeddings"))
+
+
 @query
 def op13_packing(spark, sf):
     """All documents in windows of 512 to 4,096 tokens, and the training step of each."""
