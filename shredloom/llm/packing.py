@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -182,7 +183,7 @@ def pack_pieces(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text:
 
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """The rows in slices of about `TEXT_BYTES`."""
-    sizes = pa.compute.binary_length(batch.column("text")).fill_null(0).to_numpy(
+    sizes = pc.binary_length(batch.column("text")).fill_null(0).to_numpy(
         zero_copy_only=False)
     part = np.cumsum(sizes) // TEXT_BYTES
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shredloom.llm import (
-    bpe, embedding_dedup, html_text, license_scan, line_dedup, mixing, ngram_join, packing, quality,
-    sharding, token_counts, whitening)
+    bpe, embedding_dedup, html_text, license_scan, line_dedup, mixing, ngram_join, packing, prefix_trie,
+    quality, sharding, token_counts, whitening)
 from shredloom.llm.common import pieces, table
 from shredloom.llm.vocabulary import read_ranks
 
@@ -113,6 +113,14 @@ def op10_quality_rules(spark, sf):
         "base_failed", "kept")
 
 
+@query
+def op11_prefix_trie(spark, sf):
+    """Nodes of the trie of all conversations, which share first turns in groups of twenty."""
+    turns, turnless = prefix_trie.with_shared_heads(
+        prefix_trie.numbered_turns(table(spark, sf, "conversations")), every=20, heads=4)
+    return prefix_trie.prefix_trie(turns, turnless)
+
+
 @query
 def op12_whitening(spark, sf):
     """All valid vectors on the 32 leading components, each with variance one."""
