@@ -6,19 +6,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shredloom.llm.common import dropped, settled, stored
 from shredloom.llm.components import connected_components
-from shredloom.llm.shingles import PartEnum, links_within, set_key, shingle_set, similar
+from shredloom.llm.shingles import (
+    PartEnum, links_within, most_common, profile, set_key, shingle_set, similar)
 from shredloom.operators.sizing import fits_broadcast
 from shredloom.session import scratch_path
 
 LENGTH = 4
 PERCENT = 85
-TILE = 512            # sets of one side of a tile
+TILE = 1_024          # sets of one side of a tile
 GROUP = 256           # sets of small clusters compared in one group
+FEW = 32              # classes of a signature whose pairs are looked up
+GROUP_BYTES = 16 << 20  # sets compared in one group
 CHUNK = 64            # documents whose signatures are made at once
 BROADCAST_ROWS = 500_000
 
@@ -30,9 +34,10 @@ def small(df: DataFrame) -> DataFrame:
 
 def read_sets(docs: DataFrame, doc_id: str, text: str, length: int, percent: int,
               signatures: bool) -> DataFrame:
-    """(doc_id, n, key, data): size, identity, and signatures or features of each shingle set.
+    """(doc_id, n, key, profile, data): size, identity, and signatures or features of each set.
 
-    `data` holds 64-bit numbers as bytes. Documents without words have n = 0 and a null key.
+    `data` holds 64-bit numbers as bytes; a profile comes with the signatures. Documents without
+    words have n = 0 and a null key.
     """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scheme = PartEnum(percent)
@@ -44,12 +49,14 @@ def read_sets(docs: DataFrame, doc_id: str, text: str, length: int, percent: int
                 yield pa.RecordBatch.from_arrays([
                     rows.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_key(s) if len(s) else None for s in sets], pa.binary()),
+                    pa.array([profile(s).tobytes() if signatures and len(s) else None
+                              for s in sets], pa.binary()),
                     pa.array([d.tobytes() for d in data], pa.binary())],
-                    names=["doc_id", "n", "key", "data"])
+                    names=["doc_id", "n", "key", "profile", "data"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        read, f"doc_id {kind}, n long, key binary, data binary")
+        read, f"doc_id {kind}, n long, key binary, profile binary, data binary")
 
 
 def unpacked(rows: DataFrame) -> DataFrame:
@@ -68,19 +75,37 @@ def unpacked(rows: DataFrame) -> DataFrame:
     return rows.select("node", "data").mapInArrow(unpack, "sig long, node long")
 
 
-def enough_common(percent: int):
+def possible(percent: int):
+    """Whether two sets can be similar, by sizes and profiles."""
     @F.arrow_udf("boolean")
-    def check(left: pa.Array, right: pa.Array) -> pa.Array:
+    def check(n: pa.Array, profile: pa.Array, other_n: pa.Array, other: pa.Array) -> pa.Array:
         found = []
-        for a, b in zip(left, right):
-            x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (a, b))
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            found.append(bool(similar(common, len(x), len(y), percent)))
+        for a, x, b, y in zip(n.to_pylist(), profile, other_n.to_pylist(), other):
+            common = most_common(*(np.frombuffer(v.as_buffer(), np.uint8) for v in (x, y)))
+            found.append(common is None or bool(similar(min(common, a, b), a, b, percent)))
         return pa.array(found, pa.bool_())
 
     return check
 
 
+def compare_pairs(percent: int):
+    """The similar ones of the pairs of a group, whose sets are in the group too."""
+    def compare(table: pa.Table) -> pa.Table:
+        is_set = pc.is_valid(table["data"])
+        rows = table.filter(is_set)
+        sets = {node: np.frombuffer(data, np.uint64) for node, data in zip(
+            rows["a"].to_pylist(), rows["data"].to_pylist())}
+        pairs = table.filter(pc.invert(is_set)).select(["a", "b"])
+        found = []
+        for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()):
+            x, y = sets[a], sets[b]
+            common = len(np.intersect1d(x, y, assume_unique=True))
+            found.append(bool(similar(common, len(x), len(y), percent)))
+        return pairs.filter(pa.array(found, pa.bool_()))
+
+    return compare
+
+
 def compare_tiles(percent: int):
     """Links across components inside the clusters of a group, one for each pair joined."""
     def tile(table: pa.Table) -> pa.Table:
@@ -116,8 +141,9 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     Classes that share a signature are candidates, in two steps that together lose no link:
 
     1. each class of a signature is compared with the signature's first class;
-    2. signatures whose other classes are still in different components are put into clusters,
-       in which every pair is compared, in tiles of bounded size.
+    2. where a signature's other classes are still in different components, pairs that share
+       signatures of few classes are compared; those of many are put into clusters, in which
+       every pair is compared, in tiles of bounded size.
 
     So a group of copies makes candidates in proportion to its size, and all its pairs are
     looked at only where they do not hang together already. Documents without words, or with a
@@ -149,29 +175,36 @@ def class_components(docs: DataFrame, signatures: str, classes: DataFrame, doc_i
 
     The table of all signatures is removed as soon as the shared ones are found.
     """
-    firsts = docs.sparkSession.read.parquet(signatures).join(small(classes.select("key", "least", "node")), "key").where(
+    spark = docs.sparkSession
+    firsts = spark.read.parquet(signatures).join(
+        small(classes.select("key", "least", "node")), "key").where(
         F.col("doc_id").eqNullSafe(F.col("least")))
-    signed = unpacked(firsts)
-    # Nearly all signatures are met once; the rest are few.
-    shared = stored(signed.groupBy("sig").agg(F.count(F.lit(1)).alias("members")).where(
-        F.col("members") > 1).select("sig"), "shared-signatures")
+    # Nearly all signatures are met once. The rows move one time, and stay if a neighbour in
+    # the sorted partition has the same signature.
+    beside = Window.partitionBy("sig").orderBy("node")
+    members = stored(unpacked(firsts).withColumns({
+        "_before": F.lag("node").over(beside), "_after": F.lead("node").over(beside)}).where(
+        F.col("_before").isNotNull() | F.col("_after").isNotNull()).select("sig", "node"), "members")
+    met = small(settled(members.select("node").distinct()))
+    profiles = stored(firsts.join(met, "node", "left_semi").select("node", "n", "profile")
+                      .dropDuplicates(["node"]), "profiles")
+    dropped(spark, signatures)
     sizes = classes.select("node", "n")
-    members = stored(signed.join(shared, "sig"), "members")
-    dropped(docs.sparkSession, signatures)
+
+    def links_of(pairs: DataFrame) -> DataFrame:
+        one, two = (profiles.select(F.col("node").alias(c), F.col("n").alias(f"{c}_n"),
+                                    F.col("profile").alias(f"{c}_profile")) for c in ("a", "b"))
+        close = settled(pairs.join(small(two), "b").join(small(one), "a").where(
+            possible(percent)("a_n", "a_profile", "b_n", "b_profile")).select("a", "b"))
+        return verified_links(docs, classes, close, doc_id, text, length, percent)
+
     members = promising(members, sizes, percent)
     hubs = members.groupBy("sig").agg(F.min("node").alias("first"))
     members = stored(members.join(hubs, "sig"), "members")
-    pairs = settled(members.where(F.col("node") != F.col("first")).select(
-        F.col("first").alias("a"), F.col("node").alias("b")).distinct())
-    sets = stored(sets_of(docs, classes, pairs, doc_id, text, length, percent), "sets")
-    one, two = (sets.select(F.col("node").alias(c), F.col("data").alias(f"{c}_data"))
-                for c in ("a", "b"))
-    close = pairs.join(sizes.toDF("a", "a_n"), "a").join(sizes.toDF("b", "b_n"), "b").where(
-        100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")).select("a", "b")
-    links = close.join(two, "b").join(one, "a").where(
-        enough_common(percent)("a_data", "b_data")).select("a", "b")
-
-    parts = settled(connected_components(links))
+    pairs = members.where(F.col("node") != F.col("first")).select(
+        F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+    parts = settled(connected_components(links_of(comparable(pairs, sizes, percent))))
+
     placed = members.where(F.col("node") != F.col("first")).join(
         small(parts), "node", "left").select(
         "sig", "node", F.coalesce("component", "node").alias("component"))
@@ -180,18 +213,83 @@ def class_components(docs: DataFrame, signatures: str, classes: DataFrame, doc_i
         F.min("component").alias("low"), F.max("component").alias("high")).where(
         F.col("low") < F.col("high")).select("sig")
     left = promising(stored(placed.join(apart, "sig"), "members"), sizes, percent)
-    hubs = left.groupBy("sig").agg(F.min("node").alias("hub"))
-    left = settled(left.join(hubs, "sig").select("hub", "node", "component").distinct())
-    clusters = settled(connected_components(left, "hub", "node"))
+    counts = left.groupBy("sig").agg(F.count(F.lit(1)).alias("rows"), F.min("node").alias("hub"))
+    left = settled(left.join(counts, "sig"))
+    # Of few classes every pair is looked up, of more the clusters are compared in tiles.
+    few = left.where(F.col("rows") <= FEW)
+    near = connected_components(links_of(comparable(
+        pairs_of_few(few, sizes, percent), sizes, percent)))
+    many = settled(left.where(F.col("rows") > FEW).select("hub", "node", "component").distinct())
+    clusters = settled(connected_components(many, "hub", "node"))
+    sets = sets_of(docs, classes, clusters.select("node"), doc_id, text, length, percent)
+    tiles = tile_links(clusters, many, sets.dropDuplicates(["node"]), percent)
     # Later links are between components, so only those need to be joined again.
-    joined = settled(connected_components(tile_links(clusters, left, sets, percent)).toDF(
-        "component", "wider"))
+    both = near.join(small(parts.toDF("node", "of_node")), "node", "left").join(
+        small(parts.toDF("component", "of_other")), "component", "left").select(
+        F.coalesce("of_node", "node").alias("a"), F.coalesce("of_other", "component").alias("b"))
+    joined = settled(connected_components(both.union(tiles)).toDF("component", "wider"))
     both = parts.join(small(joined), "component", "left").select(
         "node", F.coalesce("wider", "component").alias("component"))
     lone = joined.join(parts.select(F.col("node").alias("component")), "component", "left_anti")
     return both.union(lone)
 
 
+def comparable(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sizes allow them to be similar."""
+    sizes = small(sizes)
+    return settled(pairs.join(sizes.toDF("a", "a_n"), "a").join(sizes.toDF("b", "b_n"), "b").where(
+        100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")).select("a", "b"))
+
+
+def pairs_of_few(members: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): classes of different components that share signatures of at most `FEW` classes.
+
+    None of them is the first of those signatures, so a pair that is similar shares two of them,
+    unless one of its sets is small, or another signature of more classes.
+    """
+    one, two = (members.select("sig", F.col("node").alias(c), F.col("component").alias(f"{c}_in"),
+                               (F.col("rows") <= FEW).alias(f"{c}_few")) for c in ("a", "b"))
+    shared = one.join(two, "sig").where(
+        (F.col("a") < F.col("b")) & (F.col("a_in") != F.col("b_in"))).groupBy("a", "b").agg(
+        F.count(F.lit(1)).alias("shared"))
+    little = sizes.where(F.col("n") < PartEnum(percent).two_from)
+    tiny = small(settled(members.select("node").distinct().join(little, "node").select("node")))
+    return shared.join(tiny.select(F.col("node").alias("a"), F.lit(True).alias("a_tiny")), "a", "left").join(
+        tiny.select(F.col("node").alias("b"), F.lit(True).alias("b_tiny")), "b", "left").where(
+        (F.col("shared") > 1) | F.col("a_tiny") | F.col("b_tiny")).select("a", "b")
+
+
+def verified_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, doc_id: str, text: str,
+                   length: int, percent: int) -> DataFrame:
+    """The pairs that are similar. A set moves to the group of its cluster of pairs.
+
+    Small clusters share groups of about `GROUP_BYTES`; a larger one is cut by hash, and a set
+    goes where it has pairs, one for each two cuts at most. Only the given pairs are compared.
+    """
+    nodes = settled(connected_components(pairs)).toDF("node", "cluster").join(
+        classes.select("node", "n"), "node")
+    weights = settled(nodes.groupBy("cluster").agg(F.sum(8 * F.col("n")).alias("bytes")))
+    groups = F.greatest(F.ceil(F.lit(
+        weights.agg(F.sum("bytes")).first()[0] or 0) / F.lit(GROUP_BYTES)), F.lit(1))
+    cuts = F.ceil(F.col("bytes") / F.lit(GROUP_BYTES)).cast("int")
+    spots = settled(nodes.join(small(weights), "cluster").select(
+        "node", cuts.alias("cuts"), F.pmod(F.xxhash64("node"), cuts).cast("int").alias("cut"),
+        F.when(cuts == 1, -1 - F.pmod(F.xxhash64("cluster"), groups)).otherwise(
+            F.col("cluster")).alias("home")))
+    sides = [small(spots.select(F.col("node").alias(c), F.col("cut").alias(f"{c}_cut"), *more))
+             for c, more in (("a", ["home"]), ("b", []))]
+    group = ["home", "i", "j"]
+    asked = settled(pairs.join(sides[0], "a").join(sides[1], "b").select(
+        "home", F.least("a_cut", "b_cut").alias("i"), F.greatest("a_cut", "b_cut").alias("j"),
+        "a", "b"))
+    places = settled(asked.select(*group, F.explode(F.array("a", "b")).alias("node")).distinct())
+    sets = sets_of(docs, classes, spots.select("node"), doc_id, text, length, percent).join(
+        small(places), "node").select(
+        *group, F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "data")
+    return settled(asked.withColumn("data", F.lit(None).cast("binary")).union(sets).groupBy(
+        *group).applyInArrow(compare_pairs(percent), "a long, b long"))
+
+
 def promising(members: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """The rows (sig, node, …) without the classes that can be in no further similar pair.
 
@@ -203,18 +301,16 @@ def promising(members: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     return members.join(small(good), "node", "left_semi")
 
 
-def sets_of(docs: DataFrame, classes: DataFrame, pairs: DataFrame, doc_id: str, text: str,
+def sets_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame, doc_id: str, text: str,
             length: int, percent: int) -> DataFrame:
-    """(node, n, data): the features of the classes that occur in pairs, read from the texts."""
-    needed = settled(classes.join(pairs.select("a").union(pairs.select("b")).distinct()
-                                  .toDF("node"), "node").select("node", "key", "least"))
+    """(node, n, data): the features of classes, read from the texts; repeated rows give repeats."""
+    needed = settled(classes.join(nodes, "node", "left_semi").select("node", "key", "least"))
     ids = needed.select("least").distinct()
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(
         small(ids), F.col("doc_id").eqNullSafe(F.col("least")), "left_semi")
     read = read_sets(texts, "doc_id", "text", length, percent, False)
     return read.join(small(needed.select("key", "node", "least")), "key").where(
-        F.col("doc_id").eqNullSafe(F.col("least"))).select("node", "n", "data").dropDuplicates(
-        ["node"])
+        F.col("doc_id").eqNullSafe(F.col("least"))).select("node", "n", "data")
 
 
 def tile_links(clusters: DataFrame, members: DataFrame, sets: DataFrame,

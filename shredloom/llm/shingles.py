@@ -44,6 +44,25 @@ def set_key(features: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(features.tobytes())
 
 
+def profile(features: np.ndarray) -> np.ndarray:
+    """How many features of a set fall into each equal range of their values, 255 at most.
+
+    There are two to four features to a range, as long as there are no more than 32,768 ranges.
+    """
+    bits = min(max(len(features).bit_length() - 2, 6), 15)
+    counts = np.bincount((features >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8)
+
+
+def most_common(one: np.ndarray, two: np.ndarray) -> int | None:
+    """A bound that the common features of two sets never exceed; None if a range is full."""
+    if max(one.max(), two.max()) == 255:
+        return None
+    ranges = min(len(one), len(two))
+    one, two = (x.reshape(ranges, -1).sum(axis=1, dtype=np.int64) for x in (one, two))
+    return int(np.minimum(one, two).sum())
+
+
 class PartEnum:
     """Signatures of which two sets with Jaccard similarity of percent/100 share at least one.
 
@@ -157,7 +176,7 @@ def similar(common, a, b, percent: int):
 
 
 def links_within(sets: list[np.ndarray], others: list[np.ndarray] | None, percent: int,
-                 columns: int = 4_096) -> np.ndarray:
+                 columns: int = 2_048) -> np.ndarray:
     """Boolean matrix of the similar pairs of sets and others (of sets alone: i < j)."""
     right = sets if others is None else others
     everything = np.concatenate([*sets, *(others or [])])
