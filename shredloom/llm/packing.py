@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
@@ -18,10 +19,10 @@ from shredloom.operators.sizing import broadcast_if_small
 
 TIERS = (512, 1_024, 2_048, 4_096)  # context sizes, each twice the one before
 END_ID = 2               # ends every document
-POOL_TOKENS = 1 << 22    # tokens packed together; what is left over joins the next pool
+POOL_TOKENS = 1 << 21    # tokens packed together; what is left over joins the next pool
 STEP_TOKENS = 1 << 18    # of the sequences of one training step, all of one context size
-TEXT_BYTES = 4 << 20     # texts tokenized at once
-ROWS_OUT = 4_096         # pieces in a batch handed back
+TEXT_BYTES = 2 << 20     # texts tokenized at once
+ROWS_OUT = 2_048         # pieces in a batch handed back
 
 
 class Pool:
@@ -148,6 +149,8 @@ def pack_pieces(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text:
     `pool_tokens`; nothing moves between tasks.
     """
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Spark has the tasks; threads of the library would only keep memory of their own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer, pool = WordTokenizer(vocabulary), Pool(tiers)
         out, number, held = None, 0, 0
         for batch in batches:
