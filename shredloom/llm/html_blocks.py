@@ -34,10 +34,11 @@ LEAVING = SCOPE | frozenset(IMPLIED) | frozenset(
     "header hr i img listing menu meta nobr p pre ruby s small span strong strike sub sup tt u "
     "var".split())
 
+# A quote opens a value right behind the equals sign only; elsewhere it is part of a name or value.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S | re.I)
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<![^>]*>|<\?[^>]*>"
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+"
+    r"(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])[^\s>]++)?+)?+)*+)>", re.S | re.I)
 NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 PART = re.compile(r"[a-zA-Z]+")
 
@@ -170,11 +171,11 @@ def page_blocks(html: str | None) -> list[tuple[str, str, int]]:
         if token.start() > at:
             page.write(unescape(html[at:token.start()]))
         at = token.end()
-        tag = (token.group(2) or token.group(5) or "").lower()
-        attributes = token.group(3) or token.group(6) or ""
+        tag = (token.group(2) or "").lower()
+        attributes = token.group(3) or ""
         if not tag:
             continue
-        if token.group(1) or token.group(4):
+        if token.group(1):
             page.finish(tag)
         elif tag not in RAW:
             page.start(tag, attributes)

@@ -14,6 +14,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +26,9 @@ SAMPLE_CHARS = 40_000   # of a page in the sample, at most
 LAYOUTS = 8             # random layouts for each page of the sample
 EPOCHS, BATCH, RATE = 8, 30, 0.02
 SEED = 7
-CHUNK = 192             # pages labelled at once
+CHUNK = 192             # pages read at once, at most
+CHARS = 4 << 20         # of their markup
+CELLS = 16_384          # blocks of pages labelled at once, padding included; of a piece of a longer page
 
 # Words that layouts are made of.
 MAIN_NAMES = ("content", "article", "post", "entry", "story", "main", "body", "text", "page",
@@ -104,11 +107,13 @@ class Labeller:
         self.weights["v"] = np.zeros(1)
         self.weights = {k: w.astype(np.float32) for k, w in self.weights.items()}
 
-    def run(self, inputs: np.ndarray, mask: np.ndarray, way: str, keep: list | None = None):
-        """States (pages, blocks, hidden) in one direction from inputs already multiplied by W."""
+    def run(self, inputs: np.ndarray, mask: np.ndarray, way: str, keep: list | None = None,
+            start: tuple | None = None):
+        """States (pages, blocks, hidden) in one direction from inputs already multiplied by W,
+        and the state to go on from; `start` is one left by the blocks before."""
         pages, blocks = mask.shape
         u = self.weights[f"U{way}"]
-        h = c = np.zeros((pages, HIDDEN), np.float32)
+        h, c = start or (np.zeros((pages, HIDDEN), np.float32),) * 2
         states = np.zeros((pages, blocks, HIDDEN), np.float32)
         for t in range(blocks) if way == "f" else range(blocks - 1, -1, -1):
             z = inputs[:, t] + h @ u
@@ -121,17 +126,17 @@ class Labeller:
                 keep.append((t, h, c, i, f, o, g, tanh_c, m))
             c, h = m * new_c + (1 - m) * c, m * (o * tanh_c) + (1 - m) * h
             states[:, t] = h
-        return states
+        return states, (h, c)
 
     def scores(self, inputs: dict[str, np.ndarray], mask: np.ndarray) -> np.ndarray:
         states = np.concatenate(
-            [self.run(inputs[way], mask, way) for way in ("f", "b")], axis=2)
+            [self.run(inputs[way], mask, way)[0] for way in ("f", "b")], axis=2)
         return (states @ self.weights["V"])[:, :, 0] + self.weights["v"]
 
     def gradients(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean log loss over the blocks, by backpropagation through time."""
         w, kept = self.weights, {"f": [], "b": []}
-        states = {way: self.run(x @ w[f"W{way}"] + w[f"c{way}"], mask, way, kept[way])
+        states = {way: self.run(x @ w[f"W{way}"] + w[f"c{way}"], mask, way, kept[way])[0]
                   for way in ("f", "b")}
         both = np.concatenate([states["f"], states["b"]], axis=2)
         error = ((sigmoid((both @ w["V"])[:, :, 0] + w["v"]) - y) * mask / mask.sum())[:, :, None]
@@ -215,8 +220,8 @@ class Reader:
         while start < len(order):
             # Pages of like length together, the padding bounded by the longest one's blocks.
             stop = start + 1
-            while stop < len(order) and stop - start < CHUNK and len(
-                    found[order[stop]]) <= 2 * len(found[order[start]]) + 8:
+            while stop < len(order) and len(found[order[stop]]) <= min(
+                    2 * len(found[order[start]]) + 8, CELLS // (stop - start + 1)):
                 stop += 1
             some = order[start:stop]
             for k, good in zip(some, self.label([found[k] for k in some])):
@@ -224,7 +229,26 @@ class Reader:
             start = stop
         return out
 
+    def label_long(self, blocks: list[tuple[str, str, int]]) -> np.ndarray:
+        """The labels of one page in pieces; each direction carries its state from piece to piece."""
+        scores = np.zeros(len(blocks), np.float32) + self.model.weights["v"]
+        starts = range(0, len(blocks), CELLS)
+        for n, way in enumerate(("f", "b")):
+            state, out = None, self.model.weights["V"][n * HIDDEN:(n + 1) * HIDDEN, 0]
+            for low in starts if way == "f" else reversed(starts):
+                piece = blocks[low:low + CELLS]
+                inputs = np.empty((1, len(piece), 4 * HIDDEN), np.float32)
+                for k, (path, text, linked) in enumerate(piece):
+                    inputs[0, k] = text_vector(text, linked, low + k, len(blocks)) @ (
+                        self.model.weights[f"W{way}"][PATH_DIMS:]) + self.path_part(path)[way]
+                states, state = self.model.run(
+                    inputs, np.ones((1, len(piece)), np.float32), way, start=state)
+                scores[low:low + len(piece)] += states[0] @ out
+        return scores > 0
+
     def label(self, pages: list[list[tuple[str, str, int]]]) -> list[np.ndarray]:
+        if len(pages[0]) > CELLS:  # alone
+            return [self.label_long(pages[0])]
         inputs = {}
         vectors = [np.stack([text_vector(text, linked, place, len(blocks))
                              for place, (_, text, linked) in enumerate(blocks)])
@@ -427,8 +451,7 @@ def extract_main_text(pages: DataFrame, html: str = "html", name: str = "text",
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(Labeller(weights=shared.value))
         for batch in batches:
-            for start in range(0, batch.num_rows, CHUNK):
-                rows = batch.slice(start, CHUNK)
+            for rows in bounded(batch, html):
                 texts = reader.texts(rows.column(html).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(c) for c in rest] + [pa.array(texts, pa.string())],
@@ -436,3 +459,16 @@ def extract_main_text(pages: DataFrame, html: str = "html", name: str = "text",
 
     schema = pages.select(*rest, F.lit("").alias(name)).schema
     return pages.select(*rest, html).mapInArrow(read, schema)
+
+
+def bounded(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """The rows in slices of `CHUNK` rows and `CHARS` bytes of a column, or one longer row."""
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
+    start = held = 0
+    for at, size in enumerate(sizes):
+        if at > start and (at - start >= CHUNK or held + size > CHARS):
+            yield batch.slice(start, at - start)
+            start, held = at, 0
+        held += size
+    if batch.num_rows:
+        yield batch.slice(start)
