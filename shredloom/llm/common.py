@@ -14,6 +14,16 @@ BLANK = r"[\x20\x09-\x0D]"
 NOT_BLANK = r"[^\x20\x09-\x0D]"
 
 
+def numbered(df: DataFrame) -> dict[str, str]:
+    """A name for each column of an input that no column of an operator's own has."""
+    return {name: f"in{place}" for place, name in enumerate(df.columns)}
+
+
+def without(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The other columns of an input."""
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in names])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -12,6 +12,8 @@ import random
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shredloom.llm.common import numbered, without
+
 # Short notices and opening sentences of public licenses.
 TEMPLATES = {
     "MIT": [
@@ -95,7 +97,10 @@ def scan_licenses(docs: DataFrame, templates: dict[str, list[str]] | None = None
     wide = sorted({key for (_, h), own in zip(known, keys) if len(h) > SHORT for key in own})
     single = sorted({key for (_, h), own in zip(known, keys) if len(h) <= SHORT for key in own})
 
-    rest = [c for c in docs.columns if c not in (text, "license", "containment", "word_at")]
+    docs = without(docs, ("license", "containment", "word_at"))
+    names = numbered(docs)
+    docs, kept, text = docs.toDF(*names.values()), [c for c in names if c != text], names[text]
+    rest = [names[c] for c in kept]
     hashed = docs.select(*rest, word_split(F.col(text)).alias("_words")).select(
         *rest, shingle_hashes("_words").alias("_h"))
 
@@ -139,7 +144,8 @@ def scan_licenses(docs: DataFrame, templates: dict[str, list[str]] | None = None
         *rest, F.explode_outer(first_of_license).alias("_match")).where(
         F.col("_match").isNotNull()).select(
         *rest, "_match.license", "_match.containment",
-        F.col("_match.word_at").cast("long").alias("word_at"))
+        F.col("_match.word_at").cast("long").alias("word_at")
+    ).toDF(*kept, "license", "containment", "word_at")
 
 
 def template_keys(h: list[int], bands: int = BANDS) -> set[int]:

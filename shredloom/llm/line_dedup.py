@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shredloom.llm.common import digest, settled
+from shredloom.llm.common import digest, numbered, settled, without
 
 MAX_RATIO = 0.02
 MIN_PAGES = 5
@@ -62,19 +62,22 @@ def dedup_lines(docs: DataFrame, host: str = "source", text: str = "text",
     A page that is nothing but boilerplate keeps an empty text. Repeated rows stay, each cleaned.
     Columns of the input named as those added here are replaced.
     """
+    docs = without(docs, ("n_lines", "n_dropped"))
+    columns, names = docs.columns, numbered(docs)
+    docs, host, text = docs.toDF(*names.values()), names[host], names[text]
     flagged = settled(boilerplate_lines(docs, host, text, max_ratio, min_pages))
     lists = flagged.groupBy(F.col("_host").alias("_list_host")).agg(
         F.collect_list("_key").alias("_keys"))
     if flagged.count() <= broadcast_rows:
         lists = F.broadcast(lists)
-    joined = docs.drop("n_lines", "n_dropped").join(
+    joined = docs.join(
         lists, F.col(host).eqNullSafe(F.col("_list_host")), "left")
     found = joined.withColumn("_lines", lines_of(F.col(text)))
     good = F.filter("_lines", lambda x: ~F.array_contains(F.col("_keys"), line_key(x)))
     cleaned = found.withColumn("_good", F.when(F.col("_keys").isNull(), F.col("_lines"))
                                .otherwise(good))
     return cleaned.select(
-        *[F.array_join("_good", "\n").alias(c) if c == text else F.col(f"`{c}`")
-          for c in docs.columns if c not in ("n_lines", "n_dropped")],
+        *[F.array_join("_good", "\n") if c == text else F.col(c) for c in docs.columns],
         F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_lines") - F.size("_good"), F.lit(0)).cast("long").alias("n_dropped"))
+        F.coalesce(F.size("_lines") - F.size("_good"), F.lit(0)).cast("long").alias("n_dropped")
+    ).toDF(*columns, "n_lines", "n_dropped")

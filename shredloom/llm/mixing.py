@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shredloom.llm.common import running_sum, settled
+from shredloom.llm.common import numbered, running_sum, settled
 from shredloom.operators.sizing import broadcast_if_small
 
 MAX_EPOCHS = 3
@@ -66,8 +66,12 @@ def mix(docs: DataFrame, size: Column, source: str = "source", doc_id: str = "do
     """
     added = [c for c in ("size", "source_size", "target", "repeats", "taken")
              if c not in (source, doc_id)]
-    sized = docs.withColumn("_size", size.cast("long")).drop(*added)
-    kept = [c for c in sized.columns if c != "_size"]
+    sized = docs.select(*[F.col(f"`{c}`") for c in docs.columns], size.cast("long"))
+    sized = sized.toDF(*[f"in{place}" for place in range(len(docs.columns))], "_size")
+    columns = [c for c in docs.columns if c not in added]
+    names = numbered(docs)
+    source, doc_id, kept = names[source], names[doc_id], [names[c] for c in columns]
+    sized = sized.select(*kept, "_size")
     # Decisions are made on a few numbers per document; texts never move.
     units = settled(sized.groupBy(F.col(source).alias("source"), F.col(doc_id).alias("_id")).agg(
         F.sum("_size").alias("_size"), F.count(F.lit(1)).alias("_rows")).withColumn(
@@ -95,7 +99,8 @@ def mix(docs: DataFrame, size: Column, source: str = "source", doc_id: str = "do
     return sized.join(broadcast_if_small(plan), F.col(source).eqNullSafe(F.col("_of"))).select(
         *kept, F.col("_size").alias("size"),
         "source_size", "target", repeats.alias("repeats"),
-        (F.col("_size") * repeats).alias("taken"))
+        (F.col("_size") * repeats).alias("taken")
+    ).toDF(*columns, "size", "source_size", "target", "repeats", "taken")
 
 
 def place_of(doc_id: Column, seed: int) -> Column:
@@ -152,7 +157,7 @@ def fill(units: DataFrame, plan: DataFrame, kind: str) -> DataFrame:
     rule = f"array<struct<least:int,most:double,stop:{kind}>>"
     plan = plan.withColumns({
         "_rules": F.array().cast(rule), "_left": F.col("_room").cast("double"),
-        "_stop": F.lit(None).cast(kind), "_open": F.lit(True)})
+        "_stop": F.lit(None).cast(kind), "_open": F.col("_room") > 0})
     least = 0  # the first round deals with empty documents
     while True:
         left = plan.where("_open").select(F.col("source").alias("_of"), "_left", "_stop")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shredloom.llm.common import BLANK, NOT_BLANK
+from shredloom.llm.common import BLANK, NOT_BLANK, numbered, without
 
 # Fixed values of the rules.
 SYMBOLS = r"[#*$%&|<>]"
@@ -21,6 +21,9 @@ BOILERPLATE = (r"(?i)(enable javascript|accept (all )?cookies|cookie policy|priv
                r"|terms of (use|service)|lorem ipsum|subscribe to our newsletter"
                r"|click here to|skip to (main )?content|page not found)")
 
+ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+         "kept", "clean_text")
+
 MIN_WORDS = 50
 MAX_REPEATED = 50       # percent of words inside repeated windows
 MAX_SYMBOL_SHARE = 0.15  # of the characters of a line
@@ -71,6 +74,9 @@ def quality_rules(docs: DataFrame, text: str = "text",
     Store the result, or pass it through a generator, before filtering by what is added: Spark
     moves a filter below the measures and then computes them again inside each other.
     """
+    docs = without(docs, ADDED)
+    columns, names = docs.columns, numbered(docs)
+    docs, text = docs.toDF(*names.values()), names[text]
     pieces, lines = "_q_pieces", "_q_lines"
     body = F.coalesce(F.col(text), F.lit(""))
     base = docs.withColumns({
@@ -118,4 +124,4 @@ def quality_rules(docs: DataFrame, text: str = "text",
         lines, lambda line: ~line.rlike(NOT_BLANK) | good_line(line)), "\n")
     return judged.withColumn(
         "clean_text", F.when(F.col("kept"), clean)
-    ).drop(*[c for c in judged.columns if c.startswith("_q_")])
+    ).select(*docs.columns, *ADDED).toDF(*columns, *ADDED)
