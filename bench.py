@@ -54,13 +54,14 @@ def main() -> None:
     plain_keys = keys.drop("TaxYear")
     timed("build_table", lambda: run(wide.build_table(flat, plain_keys, names, fx.HEADER_TABLE)))
     timed("build_rdb_table", lambda: run(wide.build_rdb_table(
-        flat, plain_keys, names, ["//Form/LineItemGrp"], fx.LINES_TABLE)))
+        flat, plain_keys, names, ["//Form/LineItemGrp"], fx.LINES_TABLE,
+        paths=store.table("PATHS"))))
     timed("extract_tables", lambda: jobs.extract_tables(
         flat, keys, names, fx.table_headers(spark), [fx.HEADER_TABLE, fx.LINES_TABLE], YEARS,
-        scratch_path(spark, "csv")))
-    timed("xpath_report", lambda: run(reports.xpath_report(flat, keys)))
-    timed("process_xpaths", lambda: run(reports.process_xpaths(
-        flat, keys, YEARS, names, as_of_year=2001)))
+        scratch_path(spark, "csv"), paths=store.table("PATHS")))
+    timed("xpath_report", lambda: run(reports.summary_report(store.table("PATHS"))))
+    timed("process_xpaths", lambda: run(reports.process_summary(
+        store.table("PATHS"), YEARS, names, as_of_year=2001)))
     timed("summarize_attributes", lambda: run(
         attributes.summarize_attributes(store.table("ATTRIBUTES"))))
 

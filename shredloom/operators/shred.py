@@ -68,6 +68,7 @@ def parse_filings(filings: DataFrame, parent_text: bool = True,
         T.StructField("VALUE", T.StringType()),
         T.StructField("ATTRS", schemas.ATTRIBUTE_LIST),
         T.StructField("ERROR", T.StringType()),
+        T.StructField("VERSION", T.StringType()),
     ])
     return filings.mapInArrow(xml_rows.element_batches(parent_text), schema)
 
@@ -153,6 +154,17 @@ def keys_of(rows: DataFrame, key_paths: Mapping[str, Sequence[str]] = KEY_PATHS)
     )
 
 
+def paths_of(rows: DataFrame) -> DataFrame:
+    """PATHS out of stored rows: elements of each path, table and version, by year.
+
+    Every row knows the version of its filing, so rows are counted where they lie; what is
+    shuffled are the few combinations of each task.
+    """
+    carried = ["TaxYear"] if "TaxYear" in rows.columns else []
+    return good_rows(rows).groupBy(*carried, "XPATH2", "TYPE", "RDB_TABLE", "VERSION").agg(
+        F.count(F.lit(1)).alias("n_rows"))
+
+
 def extract_keys(filings: DataFrame, key_paths: Mapping[str, Sequence[str]] = KEY_PATHS,
                  **options) -> DataFrame:
     """KEYS straight from documents."""

@@ -22,6 +22,8 @@ MAX_CHARS = 32 << 20
 # Elements of one document handed on at a time.
 SLICE = 4_096
 
+VERSION = "returnVersion"  # attribute of the root that every element of its document carries
+
 ATTRS_TYPE = pa.list_(pa.struct([("attr_name", pa.string()), ("attr_value", pa.string())]))
 
 
@@ -148,6 +150,7 @@ class _Rows:
     def __init__(self) -> None:
         self.count = self.chars = 0
         self.runs: list[tuple[int, int, int]] = []  # document, first order, rows
+        self.versions: list[str | None] = []  # of each run
         self.path, self.kids, self.text = [], [], []
         self.attr_row, self.attr_name, self.attr_value = [], [], []
         self.reasons: dict[int, str] = {}
@@ -155,7 +158,7 @@ class _Rows:
     def full(self) -> bool:
         return self.count >= MAX_ROWS or self.chars >= MAX_CHARS
 
-    def add(self, doc, order, paths, kids, texts, attrs) -> None:
+    def add(self, doc, order, paths, kids, texts, attrs, version=None) -> None:
         for at, pairs in attrs:
             for name, value in zip(pairs[::2], pairs[1::2]):
                 if name != "xmlns" and not name.startswith("xmlns:"):
@@ -163,6 +166,7 @@ class _Rows:
                     self.attr_name.append(name.rpartition(":")[2])
                     self.attr_value.append(value)
         self.runs.append((doc, order, len(paths)))
+        self.versions.append(version)
         self.path += paths
         self.kids += kids
         self.text += texts
@@ -192,12 +196,24 @@ class _Rows:
             pa.array(self.text, pa.string()),
             pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs),
             errors,
+            pa.array(self.versions, pa.string()).take(
+                pa.array(np.repeat(np.arange(len(counts)), counts))),
         ]
         names = carried.schema.names + [
-            "ORDER", "XPATH", "N_CHILDREN", "VALUE", "ATTRS", "ERROR"]
+            "ORDER", "XPATH", "N_CHILDREN", "VALUE", "ATTRS", "ERROR", "VERSION"]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
 
+def root_attribute(attrs, wanted: str) -> str | None:
+    """An attribute of the first element of a document, whatever its prefix."""
+    if attrs and attrs[0][0] == 0:
+        pairs = attrs[0][1]
+        for name, value in zip(pairs[::2], pairs[1::2]):
+            if name.rpartition(":")[2] == wanted and not name.startswith("xmlns"):
+                return value
+    return None
+
+
 def element_batches(parent_text: bool = True):
     """A function for `mapInArrow`: batches with an `xml` column -> batches of elements.
 
@@ -216,9 +232,11 @@ def element_batches(parent_text: bool = True):
                 except (expat.ExpatError, ValueError) as problem:
                     rows.fail(doc, str(problem))
                     continue
-                order = 1
+                order, version = 1, None
                 for paths, kids, texts, attrs in elements:
-                    rows.add(doc, order, paths, kids, texts, attrs)
+                    if order == 1:
+                        version = root_attribute(attrs, VERSION)
+                    rows.add(doc, order, paths, kids, texts, attrs, version)
                     order += len(paths)
                     if rows.full():
                         yield rows.batch(carried)

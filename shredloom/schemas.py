@@ -22,12 +22,14 @@ FLATXML = T.StructType([
 ])
 
 # The stored form also keeps what ATTRIBUTES and KEYS are derived from, so that a filing is
-# parsed once: the URL on the first element of a filing, and each element's attributes.
+# parsed once: the URL on the first element of a filing, each element's attributes, and the
+# version of its filing.
 FLATXML_STORED = T.StructType([
     *FLATXML.fields,
     T.StructField("URL", T.StringType()),
     T.StructField("ATTRS", ATTRIBUTE_LIST),
     T.StructField("ERROR", T.StringType()),
+    T.StructField("VERSION", T.StringType()),
 ])
 
 ATTRIBUTES = T.StructType(_strings("OBJECTID", "node_name", "xpath", "attr_name", "attr_value"))
@@ -36,6 +38,10 @@ KEYS = T.StructType(_strings(
     "OBJECTID", "URL", "VERSION", "EIN", "ORG_NAME", "FORM_TYPE", "TAX_YEAR", "RETURN_TS",
     "IS_AMENDED", "IS_GROUP", "IS_PARTIAL"))
 
+# How many elements a batch has of each path, table and version: what reports are made of.
+PATHS = T.StructType([
+    *_strings("XPATH2", "TYPE", "RDB_TABLE", "VERSION"), T.StructField("n_rows", T.LongType())])
+
 FAILED_URLS = T.StructType(_strings("url", "stage", "reason"))
 
 COMMITS = T.StructType([

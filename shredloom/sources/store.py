@@ -1,10 +1,10 @@
-"""The long store: FLATXML, ATTRIBUTES, KEYS and FAILED_URLS in Parquet under one root.
+"""The long store: FLATXML, ATTRIBUTES, KEYS, PATHS and FAILED_URLS in Parquet under one root.
 
     <root>/<table>/BATCH=<id>/TaxYear=<year>/…      FLATXML also by STATUS=ok|failed
     <root>/COMMITS/                                 one row per finished batch, written last
 
 A batch is parsed once: FLATXML keeps each element's attributes and the filing's URL, so the
-other three tables are pruned scans of what was just written. Readers see only batches with a
+other tables are pruned scans of what was just written. Readers see only batches with a
 commit row; a run that died half way leaves files nobody reads, and running it again cannot
 duplicate anything.
 """
@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from shredloom import schemas
 from shredloom.operators.identity import matched
-from shredloom.operators.shred import attributes_of, failures_of, keys_of, long_rows
+from shredloom.operators.shred import attributes_of, failures_of, keys_of, long_rows, paths_of
 from shredloom.session import path_exists, remove_path
 
 ROWS_PER_FILE = 4_000_000  # of a compacted table
@@ -31,11 +31,12 @@ TABLES = {
     "FLATXML": schemas.FLATXML_STORED.fields + [T.StructField("STATUS", T.StringType())],
     "ATTRIBUTES": schemas.ATTRIBUTES.fields,
     "KEYS": schemas.KEYS.fields,
+    "PATHS": schemas.PATHS.fields,
     "FAILED_URLS": schemas.FAILED_URLS.fields,
 }
 USER_COLUMNS = {
     "FLATXML": schemas.FLATXML, "ATTRIBUTES": schemas.ATTRIBUTES, "KEYS": schemas.KEYS,
-    "FAILED_URLS": schemas.FAILED_URLS,
+    "PATHS": schemas.PATHS, "FAILED_URLS": schemas.FAILED_URLS,
 }
 
 
@@ -113,6 +114,7 @@ class LongStore:
             self._batch_path("FLATXML", batch))
         good = stored.where(F.col("STATUS") == "ok")
         self._write("ATTRIBUTES", batch, attributes_of(good))
+        self._write("PATHS", batch, paths_of(good).coalesce(1))
         failures = failures_of(stored.where(F.col("STATUS") == "failed"))
         self._write("FAILED_URLS", batch, failures if refused is None else failures.unionByName(
             refused.withColumn("TaxYear", F.col("TaxYear").cast("string"))))
@@ -154,6 +156,10 @@ class LongStore:
             rows = self._stored(name, T.StructType(TABLES[name] + [YEAR, BATCH]))
             self._write(name, batch, self._in_ranges(
                 rows.where(kept).drop("BATCH"), order, n, rows_per_file))
+        paths = self._stored("PATHS", T.StructType(TABLES["PATHS"] + [YEAR, BATCH])).where(kept)
+        by = ("TaxYear", "XPATH2", "TYPE", "RDB_TABLE", "VERSION")
+        self._write("PATHS", batch, paths.groupBy(*by).agg(
+            F.sum("n_rows").alias("n_rows")).coalesce(1))
         self._commit(batch, counts, old)
         return counts
 

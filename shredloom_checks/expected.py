@@ -187,6 +187,17 @@ s AS (SELECT k % 4 AS shard, count(*) AS nk, sum(13 + a + 6 * n_lines) AS ne,
     sum(2 + n_lines) AS na FROM ft GROUP BY 1)
 """
 
+_KEYS = ("OBJECTID", "URL", "VERSION", "EIN", "ORG_NAME", "FORM_TYPE", "TAX_YEAR", "RETURN_TS",
+         "IS_AMENDED", "IS_GROUP", "IS_PARTIAL")
+_HEADERS = ("OF_00_EIN", "OF_00_NAME", "OF_00_TAX_YEAR", "OF_00_FORM", "OF_00_AMENDED",
+            "OF_00_TOTAL", "OF_00_PRIORITY", "OF_00_UNUSED")
+_LINES = ("TABLE_ID", "OF_01_LINE", "OF_01_PART", "OF_01_SUPP", "OF_01_QTY", "OF_01_AMT")
+
+
+def _cells(names: tuple[str, ...]) -> str:
+    return " || '|' || ".join(f"""'{name}=' || coalesce("{name}", '')""" for name in names)
+
+
 SQL: dict[str, str] = {
     "shred_elements": f"""{WITH_E}SELECT oid AS "OBJECTID", ord AS "ORDER", xpath AS "XPATH",
       xpath2 AS "XPATH2", header AS "TABLE_HEADER", tid AS "TABLE_ID", typ AS "TYPE",
@@ -313,9 +324,10 @@ SQL: dict[str, str] = {
       FROM f""",
     "build_rdb_table": f"{WITH_L}SELECT {KEY_COLUMNS}, {LINE_CELLS} FROM li",
     "extract_tables": f"""{WITH_L[:-1]},
-      s AS (SELECT y, count(*) AS nk, sum(n_lines) AS nl FROM ft GROUP BY y)
-      SELECT '{HEADER_TABLE}' AS table_name, y AS "TaxYear", CAST(nk AS BIGINT) AS n_rows FROM s
-      UNION ALL SELECT '{LINES_TABLE}', y, CAST(nl AS BIGINT) FROM s""",
+      kl AS (SELECT {KEY_COLUMNS}, {LINE_CELLS}, y FROM li),
+      kh AS (SELECT {KEY_COLUMNS}, {HEADER_CELLS}, '' AS "OF_00_UNUSED", y FROM f)
+      SELECT '{HEADER_TABLE}' AS table_name, y AS "TaxYear", {_cells(_KEYS + _HEADERS)} AS cells FROM kh
+      UNION ALL SELECT '{LINES_TABLE}', y, {_cells(_KEYS + _LINES)} FROM kl""",
     "write_csv_roundtrip": f"""{WITH_L}SELECT oid AS "OBJECTID", version AS "VERSION",
       {LINE_CELLS} FROM li""",
     "retrieve_attributes": f"""{WITH_A}SELECT oid AS "OBJECTID", node_name, xpath, attr_name,
@@ -351,6 +363,8 @@ SQL: dict[str, str] = {
     "write_xpath_reports": _report(),
 }
 
+SQL["xpath_report_of_elements"] = SQL["xpath_report"]
+SQL["process_xpaths_of_elements"] = SQL["process_xpaths"]
 SQL["update_stream_two_sources"] = SQL["shred_elements"]
 SQL["compact_store"] = SQL["shred_elements"]
 SQL["read_filings"] = "SELECT page_id, md5(regexp_replace(html, '\\n$', '')) AS md5 FROM pages"

@@ -52,6 +52,10 @@ def keys(spark, sf, years=None):
     return fx.long_store(spark, sf).table("KEYS", years)
 
 
+def path_summary(spark, sf):
+    return fx.long_store(spark, sf).table("PATHS")
+
+
 def stored_attributes(spark, sf):
     return fx.long_store(spark, sf).table("ATTRIBUTES").drop("TaxYear")
 
@@ -565,15 +569,28 @@ def build_table(spark, sf):
 def build_rdb_table(spark, sf):
     headers = wide.header_list(fx.table_headers(spark), fx.LINES_TABLE)
     return wide.build_rdb_table(flat(spark, sf), keys(spark, sf).drop("TaxYear"),
-                                fx.concordance(spark), headers, fx.LINES_TABLE)
+                                fx.concordance(spark), headers, fx.LINES_TABLE,
+                                paths=path_summary(spark, sf))
 
 
 @query
 def extract_tables(spark, sf):
+    """The CSV files of both tables and all years, read back: each row's names and cells in order."""
     manifest = jobs.extract_tables(
         flat(spark, sf), keys(spark, sf), fx.concordance(spark), fx.table_headers(spark),
-        [fx.HEADER_TABLE, fx.LINES_TABLE], YEARS, scratch_path(spark, "csv"))
-    return manifest.drop("path")
+        [fx.HEADER_TABLE, fx.LINES_TABLE], YEARS, scratch_path(spark, "csv"),
+        paths=path_summary(spark, sf))
+    read = []
+    for row in manifest.collect():
+        rows = tables.read_csv(spark, row.path)
+        if rows.count() != row.n_rows:
+            raise AssertionError(f"{row.path} has not the rows of the manifest")
+        cells = [F.concat(F.lit(f"{name}="), F.coalesce(F.col(f"`{name}`"), F.lit("")))
+                 for name in rows.columns]
+        read.append(rows.select(F.lit(row.table_name).alias("table_name"),
+                                F.lit(row.TaxYear).alias("TaxYear"),
+                                F.concat_ws("|", *cells).alias("cells")))
+    return functools.reduce(DataFrame.union, read)
 
 
 @query
@@ -628,12 +645,18 @@ def preview_table(spark, sf):
 
 @query
 def xpath_report(spark, sf):
+    """From the stored path summary, which must say the same as all elements and keys."""
+    return reports.summary_report(path_summary(spark, sf))
+
+
+@query
+def xpath_report_of_elements(spark, sf):
     return reports.xpath_report(flat(spark, sf), keys(spark, sf))
 
 
 @query
 def xpath_report_by_year(spark, sf):
-    return reports.xpath_report(flat(spark, sf), keys(spark, sf), by=["TaxYear"])
+    return reports.summary_report(path_summary(spark, sf), by=["TaxYear"])
 
 
 REPORT_COLUMNS = ["xpath", "count_occurrences", "schema_versions", "first_year", "last_year",
@@ -649,13 +672,20 @@ def plain(report):
 
 @query
 def process_xpaths(spark, sf):
+    return plain(reports.process_summary(
+        path_summary(spark, sf), YEARS, fx.concordance(spark), as_of_year=AS_OF_YEAR))
+
+
+@query
+def process_xpaths_of_elements(spark, sf):
     return plain(reports.process_xpaths(
         flat(spark, sf), keys(spark, sf), YEARS, fx.concordance(spark), as_of_year=AS_OF_YEAR))
 
 
 @query
 def write_xpath_reports(spark, sf):
-    """The same by way of yearly CSV reports."""
-    return plain(jobs.write_xpath_reports(
-        flat(spark, sf), keys(spark, sf), YEARS, scratch_path(spark, "reports"),
-        fx.concordance(spark), as_of_year=AS_OF_YEAR))
+    """The same by way of yearly CSV reports; the last years add to those of the first."""
+    store, out = fx.long_store(spark, sf), scratch_path(spark, "reports")
+    jobs.write_store_reports(store, YEARS[:3], out, as_of_year=AS_OF_YEAR)
+    return plain(jobs.write_store_reports(
+        store, YEARS[3:], out, fx.concordance(spark), as_of_year=AS_OF_YEAR))
