@@ -27,15 +27,17 @@ VERSION = "returnVersion"  # attribute of the root that every element of its doc
 ATTRS_TYPE = pa.list_(pa.struct([("attr_name", pa.string()), ("attr_value", pa.string())]))
 
 
-def parse_document(xml: bytes, parent_text: bool = True) -> Iterator[tuple]:
+def parse_document(xml: bytes, parent_text: bool = True,
+                   encoding: str | None = "UTF-8") -> Iterator[tuple]:
     """Parses at once, then yields the elements in document order, up to `SLICE` at a time, as
     lists of paths, numbers of child elements, texts, and (position, attribute pairs).
 
     Sibling indexes are written only among two or more children of one name. Blank text
     between elements is dropped; blank text that is an element's whole content, or part of
-    mixed content, stays. Entity declarations are refused.
+    mixed content, stays. Entity declarations are refused. With `encoding` None the document's
+    byte order mark or declaration says how it is encoded, UTF-8 if there is neither.
     """
-    parser = expat.ParserCreate("UTF-8")
+    parser = expat.ParserCreate(encoding)
     parser.buffer_text = True
     parser.ordered_attributes = True
 
@@ -218,18 +220,21 @@ def element_batches(parent_text: bool = True):
     """A function for `mapInArrow`: batches with an `xml` column -> batches of elements.
 
     Every other column is carried along. A document that cannot be parsed gives one row with
-    ORDER 0 and the reason in ERROR.
+    ORDER 0 and the reason in ERROR. Binary documents are decoded as they declare; text has been
+    decoded before, whatever it declares.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            documents = batch.column("xml").cast(pa.binary())
+            documents = batch.column("xml")
+            encoding = None if pa.types.is_binary(documents.type) else "UTF-8"
+            documents = documents.cast(pa.binary())
             carried = batch.select([n for n in batch.schema.names if n != "xml"])
             rows = _Rows()
             for doc in range(batch.num_rows):
                 try:
-                    elements = parse_document(documents[doc].as_py() or b"", parent_text)
-                except (expat.ExpatError, ValueError) as problem:
+                    elements = parse_document(documents[doc].as_py() or b"", parent_text, encoding)
+                except (expat.ExpatError, ValueError, LookupError) as problem:
                     rows.fail(doc, str(problem))
                     continue
                 order, version = 1, None

@@ -18,6 +18,8 @@ DEFAULTS = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Whole XML documents go to Python in record batches of at most this size.
     "spark.sql.execution.arrow.maxBytesPerBatch": "16MB",
+    # Up to so many values of a list are looked up in statistics and Bloom filters one by one.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     # Filings are many small files: open more of them per task.
     "spark.sql.files.openCostInBytes": str(1 << 20),
 }

@@ -4,32 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shredloom import schemas
 
 
+# Columns of files read whole, as Spark fixes them.
+FILES = "path string, modificationTime timestamp, length long, content binary"
+
+# A landing is packed into row groups of this size, so that a reader can skip most of them.
+GROUP_BYTES = 8 << 20
+
+
 def read_filings(spark: SparkSession, path: str | list[str], base: str | None = None) -> DataFrame:
     """`(url, xml)` of a directory of XML files, one document per file.
 
-    The URL is the file's path, or `base` and the file's name.
+    The URL is the file's path, or `base` and the file's name. Documents stay as the bytes of
+    the file: the parser decodes each as its byte order mark or declaration says.
     """
-    files = spark.read.format("binaryFile").load(path)
-    return _named(files.withColumn("value", as_declared(F.col("content"))), base)
-
-
-def as_declared(content: Column) -> Column:
-    """The text of an XML file by the encoding it declares: UTF-8, ISO-8859-1 or US-ASCII."""
-    head = F.decode(F.substring(content, 1, 200), "ISO-8859-1")
-    declared = F.upper(F.regexp_extract(head, r"""^<\?xml[^>]*encoding\s*=\s*["']([^"']+)""", 1))
-    return F.when(declared.isin("ISO-8859-1", "LATIN1", "US-ASCII"),
-                  F.decode(content, "ISO-8859-1")).otherwise(content.cast("string"))
+    return _named(spark.read.format("binaryFile").load(path), base)
 
 
 def read_filing_stream(spark: SparkSession, path: str, base: str | None = None) -> DataFrame:
     """The same as a stream of newly landed files."""
-    return _named(spark.readStream.text(path, wholetext=True), base)
+    return _named(spark.readStream.format("binaryFile").schema(FILES).load(path), base)
 
 
 def _named(files: DataFrame, base: str | None) -> DataFrame:
@@ -37,7 +36,7 @@ def _named(files: DataFrame, base: str | None) -> DataFrame:
     url = file_path if base is None else F.concat(
         F.lit(base), F.url_decode(F.replace(
             F.substring_index(file_path, "/", -1), F.lit("+"), F.lit("%2B"))))
-    return files.select(url.alias("url"), F.col("value").alias("xml"))
+    return files.select(url.alias("url"), F.col("content").alias("xml"))
 
 
 def read_packed_filings(spark: SparkSession, path: str) -> DataFrame:
@@ -45,9 +44,17 @@ def read_packed_filings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def pack_filings(filings: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Packs small files into Parquet for repeated use."""
-    filings.write.mode(mode).parquet(path)
+def pack_filings(filings: DataFrame, path: str, mode: str = "errorifexists",
+                 files: int | None = None, group_bytes: int = GROUP_BYTES) -> None:
+    """Packs small files into Parquet for repeated use: a landing that readers can skip in.
+
+    Documents are dealt and sorted by URL into small row groups with Bloom filters on the URL,
+    so that an update which asks for few documents by URL reads few row groups.
+    """
+    dealt = [files, "url"] if files else ["url"]
+    (filings.repartitionByRange(*dealt).sortWithinPartitions("url")
+     .write.mode(mode).option("parquet.bloom.filter.enabled#url", "true")
+     .option("parquet.block.size", group_bytes).parquet(path))
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:

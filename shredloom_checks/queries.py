@@ -497,7 +497,7 @@ def read_filings(spark, sf):
     fx.read(spark, sf, "pages").select("html", "page_id").write.partitionBy("page_id").text(path)
     got = landing.read_filings(spark, f"{path}/page_id=*")
     page = F.regexp_extract("url", r"page_id=(\d+)", 1).cast("long")
-    return got.select(page.alias("page_id"), F.md5(F.regexp_replace("xml", "\n$", "")).alias("md5"))
+    return got.select(page.alias("page_id"), F.md5(F.regexp_replace(F.col("xml").cast("string"), "\n$", "")).alias("md5"))
 
 
 @query

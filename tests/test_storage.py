@@ -3,10 +3,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
-from shredloom.operators import filing_index, merge, profile
+from shredloom.operators import filing_index, merge, profile, shred
 from shredloom.plans import jobs
 from shredloom.sources import tables
-from shredloom.sources.filings import read_filing_stream, read_filings
+from shredloom.sources.filings import (
+    pack_filings, read_filing_stream, read_filings, read_packed_filings)
 from shredloom.sources.store import LongStore, open_snapshot
 from shredloom.streaming.updates import update_stream
 
@@ -246,12 +247,80 @@ def test_merge_update_keeps_a_second_year(spark):
         ("2020", "OID-1"), ("2021", "OID-1")]
 
 
-def test_files_are_read_by_their_declared_encoding(spark, tmp_path):
-    (tmp_path / "a.xml").write_bytes(
-        '<?xml version="1.0" encoding="ISO-8859-1"?><r>é</r>'.encode("latin-1"))
-    (tmp_path / "b.xml").write_bytes("<r>é</r>".encode())
-    got = read_filings(spark, str(tmp_path), "x/")
-    assert {row.url: row.xml[-6:] for row in got.collect()} == {"x/a.xml": ">é</r>", "x/b.xml": ">é</r>"}
+ENCODED = {
+    "a": '<?xml version="1.0" encoding="ISO-8859-1"?><r v="ü">é</r>'.encode("latin-1"),
+    "b": '<r v="ü">é</r>'.encode(),
+    "c": '<?xml version="1.0" encoding="UTF-16"?><r v="ü">é</r>'.encode("utf-16"),
+    "d": '<?xml version="1.0" encoding="windows-1252"?><r v="ü">é</r>'.encode("cp1252"),
+    "e": '<?xml version="1.0" encoding="UTF-8"?><r v="ü">é</r>'.encode("utf-8-sig"),
+}
+
+
+def land_encoded(folder):
+    folder.mkdir()
+    for name, data in ENCODED.items():
+        (folder / f"{name}.xml").write_bytes(data)
+    (folder / "f.xml").write_bytes(b'<?xml version="1.0" encoding="no-such-one"?><r/>')
+    (folder / "g.xml").write_bytes(b"<r>\xff</r>")
+
+
+def encoded_results(store):
+    found = {row.OBJECTID: row.attr_value for row in store.table("ATTRIBUTES").collect()}
+    assert found == {f"OID-{name}.xml": "ü" for name in ENCODED}
+    assert {row.url[-5:] for row in store.table("FAILED_URLS").collect()} == {"f.xml", "g.xml"}
+
+
+def test_files_are_read_by_the_encoding_they_declare(spark, tmp_path):
+    land_encoded(tmp_path / "xml")
+    store = LongStore(spark, str(tmp_path / "store"))
+    jobs.build_year(store, read_filings(spark, str(tmp_path / "xml"), BASE), 2020)
+    encoded_results(store)
+    elements = shred.shred_elements(read_filings(spark, str(tmp_path / "xml")), parent_text=True)
+    assert elements.count() == len(ENCODED)
+
+
+def test_a_stream_reads_the_same_encodings(spark, tmp_path):
+    land_encoded(tmp_path / "xml")
+    store = LongStore(spark, str(tmp_path / "store"))
+    stream = read_filing_stream(spark, str(tmp_path / "xml"), BASE).withColumn("TaxYear", F.lit("2020"))
+    update_stream(stream, store, str(tmp_path / "offsets")).awaitTermination()
+    encoded_results(store)
+
+
+def scanned(df):
+    """Rows that the file scans of a plan gave, after running it."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(k).metrics().apply("numOutputRows").value()
+               for k in range(leaves.size()) if "FileScan" in leaves.apply(k).toString()
+               or "Scan parquet" in leaves.apply(k).toString())
+
+
+def test_an_update_reads_few_row_groups_of_a_packed_landing(spark, tmp_path):
+    docs = spark.range(20_000).select(
+        F.format_string(f"{BASE}%06d_public.xml", "id").alias("url"),
+        F.concat(F.lit('<Return returnVersion="2020v1.0"><a>'), F.sha2(F.col("id").cast("string"), 512),
+                 F.lit("</a></Return>")).alias("xml"))
+    pack_filings(docs, str(tmp_path / "packed"), files=4, group_bytes=1 << 15)
+    packed = read_packed_filings(spark, str(tmp_path / "packed"))
+    urls = [f"{BASE}{k:06d}_public.xml" for k in range(0, 20_000, 1_000)]
+    asked = packed.where(F.col("url").isin(urls))
+    assert asked.count() == 20 and scanned(packed) == 20_000
+    assert scanned(asked) < 0.2 * 20_000
+    # One that is not there lies between the smallest and largest URL, and reads nothing much.
+    none = packed.where(F.col("url") == f"{BASE}010000x_public.xml")
+    assert scanned(none) < 0.02 * 20_000
+
+    store = LongStore(spark, str(tmp_path / "store"))
+    index = docs.select(F.col("url").alias("URL"), F.lit("2020").alias("TaxYear"))
+    first = index.where(~F.col("URL").isin(urls))
+    assert jobs.update_year(store, packed, 2020, first)["n_filings"] == 19_980
+    assert jobs.update_year(store, packed, 2020, index)["n_filings"] == 20
+    assert jobs.update_year(store, packed, 2020, index) is None
+    values = store.table("FLATXML").where("XPATH2 = '/Return/a'")
+    want = docs.select(F.md5(F.concat_ws("", F.col("url"), F.col("xml"))))
+    assert values.count() == want.count() == store.table("KEYS").select("URL").distinct().count()
 
 
 def test_profile_survives_an_unreadable_table(spark, tmp_path):
