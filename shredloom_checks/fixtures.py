@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from shredloom import schemas
 from shredloom.session import scratch_path
+from shredloom.sources.filings import pack_filings
 from shredloom.sources.store import LongStore
 
 URL_BASE = "https://filings.example.org/xml/"
@@ -153,8 +154,7 @@ def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     if key not in _LANDED:
         path = scratch_path(spark, "landed")
-        made = filings(spark, sf_dir)
-        made.repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+        pack_filings(filings(spark, sf_dir), path, files=spark.sparkContext.defaultParallelism)
         _LANDED[key] = path
     return spark.read.parquet(_LANDED[key])
 
