@@ -12,16 +12,19 @@ from pyspark.sql import functions as F
 FILE_SUFFIX = "_public.xml"
 FILING_PREFIX = "OID-"
 EIN_PREFIX = "EIN-"
+# Folders in which hosts publish one file per filing, named by its number.
+KNOWN_FOLDERS = ("EfileData/XmlFiles", "xml", "xml2/2022_TEOS_XML_01A", "xml2/2022_TEOS_XML_02A")
 
 
 def object_id(url: Column, bases: Sequence[str] | None = None) -> Column:
     """Filing id of a URL.
 
-    With `bases`, those URL bases are removed and any other is kept whole; without, everything
-    up to the last slash goes.
+    Known URL bases are removed, any other is kept whole, so that files of one name in two
+    folders stay two filings. Known are `bases`, or else the known folders of any host.
     """
     if bases is None:
-        name = F.substring_index(url, "/", -1)
+        folders = "|".join(_literal(folder) for folder in KNOWN_FOLDERS)
+        name = F.regexp_replace(url, f"^https?://[^/]+/(?:{folders})/(?=[^/]*$)", "")
     else:
         pattern = "|".join(_literal(base) for base in bases)
         name = F.regexp_replace(url, pattern, "") if pattern else url

@@ -34,6 +34,11 @@ def test_object_id(spark):
     url = f"{base}202220139349301207_public.xml"
     assert one(spark, ids.object_id, url) == "OID-202220139349301207"
     assert one(spark, lambda c: ids.object_id(c, [base]), url) == "OID-202220139349301207"
+    for folder in ids.KNOWN_FOLDERS:
+        assert one(spark, ids.object_id, f"http://h/{folder}/7_public.xml") == "OID-7"
+    for unknown in ("https://h/other/7", "https://h/xml/2021/7", "https://h/a/xml/7",
+                    "file:/data/xml/7", "7"):
+        assert one(spark, ids.object_id, f"{unknown}_public.xml") == f"OID-{unknown}"
     other = "https://other.example.org/a+b/1_public.xml"
     assert one(spark, lambda c: ids.object_id(c, [base]), other) == (
         "OID-https://other.example.org/a+b/1")

@@ -219,7 +219,7 @@ def test_a_filing_in_two_years_and_one_without_in_one_batch(spark, tmp_path):
 
 def test_two_documents_with_one_id_are_not_mixed(spark, folder):
     store = LongStore(spark, folder)
-    other = "https://filings.example.org/other/1_public.xml"
+    other = "https://elsewhere.example.org/xml/1_public.xml"
     two = filings(spark, 1).unionByName(spark.createDataFrame(
         [(other, "<Return><b>2</b></Return>")], "url string, xml string"))
     listed = index(spark, 1).unionByName(spark.createDataFrame(
@@ -231,6 +231,20 @@ def test_two_documents_with_one_id_are_not_mixed(spark, folder):
             ("identity", False)]
 
 
+def test_files_of_one_name_in_two_folders_are_two_filings(spark, folder):
+    store = LongStore(spark, folder)
+    other = "https://filings.example.org/other/1_public.xml"
+    two = filings(spark, 1).unionByName(spark.createDataFrame(
+        [(other, "<Return><b>2</b></Return>")], "url string, xml string"))
+    listed = index(spark, 1).unionByName(spark.createDataFrame(
+        [(other, "2020", "990")], "URL string, TaxYear string, FormType string"))
+    for _ in range(2):
+        jobs.update_year(store, two, 2020, listed)
+        assert store.table("FLATXML").count() == 4 and store.table("FAILED_URLS").isEmpty()
+        assert rows(store.table("KEYS").select("OBJECTID", "URL")) == [
+            ("OID-1", f"{BASE}1_public.xml"), (f"OID-{other[:-len('_public.xml')]}", other)]
+
+
 def test_dead_letters_are_unique_and_go_once_stored(spark, folder):
     store, listed = LongStore(spark, folder), index(spark, 1, 2)
     for _ in range(2):
