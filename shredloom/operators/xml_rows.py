@@ -6,7 +6,8 @@ nothing of tables, crosswalks or keys; those are Column expressions on its outpu
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from xml.parsers import expat
 
 import numpy as np
@@ -21,27 +22,36 @@ MAX_ROWS = 16_384
 MAX_CHARS = 32 << 20
 # Elements of one document handed on at a time.
 SLICE = 4_096
+# Documents of more bytes are walked twice, so that their elements are never held together.
+LARGE = 8 << 20
+FEED = 1 << 18  # bytes given to the parser at a time on the second walk
 
 VERSION = "returnVersion"  # attribute of the root that every element of its document carries
 
 ATTRS_TYPE = pa.list_(pa.struct([("attr_name", pa.string()), ("attr_value", pa.string())]))
 
 
-def parse_document(xml: bytes, parent_text: bool = True,
-                   encoding: str | None = "UTF-8") -> Iterator[tuple]:
-    """Parses at once, then yields the elements in document order, up to `SLICE` at a time, as
-    lists of paths, numbers of child elements, texts, and (position, attribute pairs).
+def refuse(*_):
+    raise ValueError("entity declarations are not accepted")
 
-    Sibling indexes are written only among two or more children of one name. Blank text
-    between elements is dropped; blank text that is an element's whole content, or part of
-    mixed content, stays. Entity declarations are refused. With `encoding` None the document's
-    byte order mark or declaration says how it is encoded, UTF-8 if there is neither.
-    """
+
+def new_parser(encoding: str | None):
+    """Entity declarations are refused."""
     parser = expat.ParserCreate(encoding)
     parser.buffer_text = True
     parser.ordered_attributes = True
+    parser.EntityDeclHandler = refuse
+    parser.SkippedEntityHandler = refuse
+    return parser
 
-    elements: list[list] = []
+
+def listen(parser, opened: Callable[[list], None],
+           closed: Callable[[list], None] | None = None) -> list[str]:
+    """Calls back with each element as it starts and ends; returns the growing list of texts.
+
+    Blank text between elements is dropped; blank text that is an element's whole content, or
+    part of mixed content, stays.
+    """
     chunks: list[str] = []
     top: list = [None, "", 0, None, 0, 0, (), False, False, False, ""]  # the document itself
     blank = ""
@@ -73,13 +83,15 @@ def parse_document(xml: bytes, parent_text: bool = True,
             tally[name] = count
         top[TEXT_LAST] = False
         top = [top, name, count, None, len(chunks), 0, pairs, False, False, False, ""]
-        elements.append(top)
+        opened(top)
 
     def on_end(_name):
         nonlocal top
         if blank:
             settle(True)
         top[STOP] = len(chunks)
+        if closed:
+            closed(top)
         top = top[UP]
 
     def on_text(text):
@@ -106,9 +118,6 @@ def parse_document(xml: bytes, parent_text: bool = True,
         nonlocal cdata
         cdata = False
 
-    def refuse(*_):
-        raise ValueError("entity declarations are not accepted")
-
     parser.StartElementHandler = on_start
     parser.EndElementHandler = on_end
     parser.CharacterDataHandler = on_text
@@ -116,8 +125,21 @@ def parse_document(xml: bytes, parent_text: bool = True,
     parser.ProcessingInstructionHandler = on_other
     parser.StartCdataSectionHandler = on_cdata
     parser.EndCdataSectionHandler = after_cdata
-    parser.EntityDeclHandler = refuse
-    parser.SkippedEntityHandler = refuse
+    return chunks
+
+
+def parse_document(xml: bytes, parent_text: bool = True,
+                   encoding: str | None = "UTF-8") -> Iterator[tuple]:
+    """Parses at once, then yields the elements in document order, up to `SLICE` at a time, as
+    lists of paths, numbers of child elements, texts, and (position, attribute pairs).
+
+    Sibling indexes are written only among two or more children of one name. With `encoding`
+    None the document's byte order mark or declaration says how it is encoded, UTF-8 if there is
+    neither.
+    """
+    elements: list[list] = []
+    parser = new_parser(encoding)
+    chunks = listen(parser, elements.append)
     parser.Parse(xml, True)
 
     def slices():
@@ -146,13 +168,103 @@ def parse_document(xml: bytes, parent_text: bool = True,
     return slices()
 
 
+def survey_document(xml: bytes, encoding: str | None = "UTF-8") -> tuple:
+    """First walk of a large document: per element in document order, the number of its child
+    elements and whether a sibling has its name; and the attribute pairs of the root.
+
+    Five bytes an element are kept, and the names of open elements' children.
+    """
+    kids, repeated, root = array("i"), bytearray(), []
+    open_elements: list[tuple[int, dict]] = []  # position, first child of each name
+
+    def on_start(name, pairs):
+        at = len(kids)
+        kids.append(0)
+        repeated.append(0)
+        if open_elements:
+            parent, firsts = open_elements[-1]
+            kids[parent] += 1
+            first = firsts.setdefault(name, at)
+            if first != at:
+                repeated[first] = repeated[at] = 1
+        else:
+            root.extend(pairs)
+        open_elements.append((at, {}))
+
+    parser = new_parser(encoding)
+    parser.StartElementHandler = on_start
+    parser.EndElementHandler = lambda _name: open_elements.pop()
+    parser.Parse(xml, True)
+    return kids, repeated, root
+
+
+def stream_document(xml: bytes, parent_text: bool = True,
+                    encoding: str | None = "UTF-8") -> tuple[list, Iterator[tuple]]:
+    """The root's attribute pairs, and the elements of `parse_document` as they end, with their
+    numbers in document order in front.
+
+    The document is walked twice. Held are the survey, one slice, and of the texts only those of
+    open elements: of a leaf, or with `parent_text` all that the root's own text consists of.
+    """
+    kids_of, repeated, root = survey_document(xml, encoding)
+    numbers: list[int] = []  # of the open elements
+    seen = 0
+    orders, paths, kids, texts, attrs, chars = [], [], [], [], [], 0
+
+    def opened(element):
+        nonlocal seen
+        seen += 1
+        numbers.append(seen)
+        above, name, count = element[UP][PATH], element[NAME], element[NTH]
+        element[PATH] = (f"{above}/{name}[{count}]" if repeated[seen - 1] else f"{above}/{name}")
+        if not parent_text:
+            chunks.clear()
+            element[START] = 0
+
+    def closed(element):
+        nonlocal chars
+        order = numbers.pop()
+        if element[TALLY] is not None and not parent_text:
+            text = None
+        else:
+            text = "".join(chunks[element[START]:element[STOP]])
+            chars += len(text)
+        if not parent_text:
+            chunks.clear()
+        if element[PAIRS]:
+            attrs.append((len(paths), element[PAIRS]))
+        orders.append(order)
+        paths.append(element[PATH])
+        kids.append(kids_of[order - 1])
+        texts.append(text)
+
+    parser = new_parser(encoding)
+    chunks = listen(parser, opened, closed)
+
+    def slices():
+        nonlocal orders, paths, kids, texts, attrs, chars
+        view = memoryview(xml)
+        for at in range(0, len(xml), FEED):
+            parser.Parse(view[at:at + FEED], False)
+            if len(paths) >= SLICE or chars >= FEED:
+                ready = orders, paths, kids, texts, attrs
+                orders, paths, kids, texts, attrs, chars = [], [], [], [], [], 0
+                yield ready
+        parser.Parse(b"", True)
+        if paths:
+            yield orders, paths, kids, texts, attrs
+
+    return root, slices()
+
+
 class _Rows:
     """Rows waiting to become one Arrow batch."""
 
     def __init__(self) -> None:
         self.count = self.chars = 0
-        self.runs: list[tuple[int, int, int]] = []  # document, first order, rows
+        self.runs: list[tuple[int, int]] = []  # document, rows
         self.versions: list[str | None] = []  # of each run
+        self.orders = array("i")
         self.path, self.kids, self.text = [], [], []
         self.attr_row, self.attr_name, self.attr_value = [], [], []
         self.reasons: dict[int, str] = {}
@@ -160,15 +272,16 @@ class _Rows:
     def full(self) -> bool:
         return self.count >= MAX_ROWS or self.chars >= MAX_CHARS
 
-    def add(self, doc, order, paths, kids, texts, attrs, version=None) -> None:
+    def add(self, doc, orders, paths, kids, texts, attrs, version=None) -> None:
         for at, pairs in attrs:
             for name, value in zip(pairs[::2], pairs[1::2]):
                 if name != "xmlns" and not name.startswith("xmlns:"):
                     self.attr_row.append(self.count + at)
                     self.attr_name.append(name.rpartition(":")[2])
                     self.attr_value.append(value)
-        self.runs.append((doc, order, len(paths)))
+        self.runs.append((doc, len(paths)))
         self.versions.append(version)
+        self.orders.extend(orders)
         self.path += paths
         self.kids += kids
         self.text += texts
@@ -177,12 +290,10 @@ class _Rows:
 
     def fail(self, doc, reason) -> None:
         self.reasons[self.count] = reason
-        self.add(doc, 0, [None], [None], [None], ())
+        self.add(doc, (0,), [None], [None], [None], ())
 
     def batch(self, carried: pa.RecordBatch) -> pa.RecordBatch:
-        docs, orders, counts = np.array(self.runs, np.int32).T
-        ends = np.cumsum(counts)
-        order = np.arange(self.count, dtype=np.int32) + np.repeat(orders - ends + counts, counts)
+        docs, counts = np.array(self.runs, np.int32).T
         per_row = np.bincount(self.attr_row, minlength=self.count)
         offsets = np.concatenate(([0], np.cumsum(per_row)))
         pairs = pa.StructArray.from_arrays(
@@ -192,7 +303,7 @@ class _Rows:
                   if self.reasons else pa.nulls(self.count, pa.string()))
         rows = pa.array(np.repeat(docs, counts), pa.int32())
         columns = [column.take(rows) for column in carried.columns] + [
-            pa.array(order, pa.int32()),
+            pa.array(np.frombuffer(self.orders, np.int32)),
             pa.array(self.path, pa.string()),
             pa.array(self.kids, pa.int32()),
             pa.array(self.text, pa.string()),
@@ -206,16 +317,36 @@ class _Rows:
         return pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def root_attribute(attrs, wanted: str) -> str | None:
-    """An attribute of the first element of a document, whatever its prefix."""
-    if attrs and attrs[0][0] == 0:
-        pairs = attrs[0][1]
-        for name, value in zip(pairs[::2], pairs[1::2]):
-            if name.rpartition(":")[2] == wanted and not name.startswith("xmlns"):
-                return value
+def attribute_of(pairs, wanted: str) -> str | None:
+    """An attribute out of an element's pairs, whatever its prefix."""
+    for name, value in zip(pairs[::2], pairs[1::2]):
+        if name.rpartition(":")[2] == wanted and not name.startswith("xmlns"):
+            return value
     return None
 
 
+def numbered_elements(xml: bytes, parent_text: bool,
+                      encoding: str | None) -> Iterator[tuple[tuple, str | None]]:
+    """Slices of a document's elements with their numbers, each with the root's version."""
+    if len(xml) > LARGE:
+        root, slices = stream_document(xml, parent_text, encoding)
+        version = attribute_of(root, VERSION)
+        return ((part, version) for part in slices)
+    slices = parse_document(xml, parent_text, encoding)
+
+    def numbered():
+        order, version = 1, None
+        for part in slices:
+            attrs = part[3]
+            if order == 1 and attrs and attrs[0][0] == 0:
+                version = attribute_of(attrs[0][1], VERSION)
+            count = len(part[0])
+            yield (range(order, order + count), *part), version
+            order += count
+
+    return numbered()
+
+
 def element_batches(parent_text: bool = True):
     """A function for `mapInArrow`: batches with an `xml` column -> batches of elements.
 
@@ -233,16 +364,13 @@ def element_batches(parent_text: bool = True):
             rows = _Rows()
             for doc in range(batch.num_rows):
                 try:
-                    elements = parse_document(documents[doc].as_py() or b"", parent_text, encoding)
+                    elements = numbered_elements(
+                        documents[doc].as_py() or b"", parent_text, encoding)
                 except (expat.ExpatError, ValueError, LookupError) as problem:
                     rows.fail(doc, str(problem))
                     continue
-                order, version = 1, None
-                for paths, kids, texts, attrs in elements:
-                    if order == 1:
-                        version = root_attribute(attrs, VERSION)
-                    rows.add(doc, order, paths, kids, texts, attrs, version)
-                    order += len(paths)
+                for part, version in elements:
+                    rows.add(doc, *part, version)
                     if rows.full():
                         yield rows.batch(carried)
                         rows = _Rows()

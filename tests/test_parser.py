@@ -1,3 +1,5 @@
+import random
+import tracemalloc
 from xml.parsers import expat
 
 import pytest
@@ -86,6 +88,58 @@ def test_broken_documents_raise(xml):
         elements(xml)
 
 
+def streamed(text, **options):
+    root, slices = xml_rows.stream_document(text.encode(), **options)
+    out = {}
+    for orders, paths, kids, texts, attrs in slices:
+        pairs = dict(attrs)
+        for at, (order, *rest) in enumerate(zip(orders, paths, kids, texts)):
+            assert order not in out
+            out[order] = (*rest, pairs.get(at, []))
+    assert root == out[1][3]
+    return [out[order] for order in sorted(out)]
+
+
+def random_xml(draw, depth=0):
+    """Elements, texts, blanks, comments, instructions and CDATA in any order."""
+    inner = [draw.choice(["", " ", "\n  ", "x", " y ", "&amp;", "<!-- n -->", "<?p i?>",
+                          "<![CDATA[ ]]>", "<![CDATA[a<b]]>", "é" * 30])
+             if depth > 4 or draw.random() < 0.6 else random_xml(draw, depth + 1)
+             for _ in range(draw.randint(0, 6))]
+    name = draw.choice("ab")
+    pairs = draw.choice(["", " k='1'", " p:k='2' xmlns:p='u'"])
+    return f"<{name}{pairs}>{''.join(inner)}</{name}>"
+
+
+@pytest.mark.parametrize("parent_text", [True, False])
+@pytest.mark.parametrize("feed", [1, 7, 1 << 20])
+def test_two_walks_give_what_one_gives(monkeypatch, feed, parent_text):
+    monkeypatch.setattr(xml_rows, "FEED", feed)
+    monkeypatch.setattr(xml_rows, "SLICE", 3)
+    draw = random.Random(feed)
+    for _ in range(300):
+        xml = random_xml(draw)
+        assert streamed(xml, parent_text=parent_text) == elements(xml, parent_text=parent_text)
+
+
+@pytest.mark.parametrize("xml", ["", "<r>", "<r></s>", "<r>&nope;</r>", "plain"])
+def test_broken_large_documents_raise_before_the_first_row(xml):
+    with pytest.raises(expat.ExpatError):
+        xml_rows.stream_document(xml.encode())
+
+
+def test_large_documents_need_bounded_memory():
+    """On top of its bytes a document of 12 MB and 1.2 million elements takes few."""
+    xml = b"<r>" + b"<g><v k='1'>1</v></g>" * 600_000 + b"</r>"
+    tracemalloc.start()
+    try:
+        count = sum(len(part[0]) for part, _ in xml_rows.numbered_elements(xml, False, None))
+        held = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(xml) > xml_rows.LARGE and count == 1_200_001 and held < 60 << 20
+
+
 def test_slices_cover_a_large_document(monkeypatch):
     monkeypatch.setattr(xml_rows, "SLICE", 7)
     xml = "<r>" + "".join(f"<g><v k='{i}'>{i}</v></g>" for i in range(100)) + "</r>"

@@ -1,7 +1,8 @@
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from shredloom.operators import crosswalk, shred
+from shredloom.operators import crosswalk, shred, xml_rows
 from shredloom.sources.filings import pack_filings, read_filings, read_packed_filings
 
 COMPACT = ('<Return xmlns="u" xmlns:x="v" returnVersion="2020v1.0"><ReturnHeader>'
@@ -130,3 +131,13 @@ def test_files_and_packed_filings_read_alike(spark, tmp_path):
     assert shred.shred_elements(read).count() == 13
     pack_filings(read, str(tmp_path / "packed"))
     assert rows(read_packed_filings(spark, str(tmp_path / "packed"))) == rows(read)
+
+
+@pytest.mark.parametrize("parent_text", [True, False])
+def test_large_documents_give_the_rows_of_small_ones(spark, monkeypatch, parent_text):
+    docs = filings(spark, '<x:Return returnVersion="2020v1.0" xmlns:x="u"><a k="1">1<b/> 2</a><a/></x:Return>',
+                   "<Return><a></Return>", "<r/>", "", None)
+    known = rows(shred.long_rows(docs, parent_text=parent_text))
+    monkeypatch.setattr(xml_rows, "LARGE", -1)
+    assert rows(shred.long_rows(docs, parent_text=parent_text)) == known
+    assert len(known) == 4 + 1 + 1 + 2
