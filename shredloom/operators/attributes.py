@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shredloom import schemas
 from shredloom.functions.ids import object_id
 from shredloom.operators.sizing import broadcast_if_small
+from shredloom.operators.top_rows import top_rows
 
 INLINE_IDS = 1_000
 
@@ -39,7 +40,7 @@ def retrieve_attributes(attributes: DataFrame, objectid: Sequence[str] | DataFra
     if objectid is not None:
         rows = rows.join(broadcast_if_small(objectid.select("OBJECTID")), "OBJECTID", "left_semi")
     if limit is not None:
-        rows = rows.orderBy(*names).limit(limit)
+        rows = top_rows(rows, names, limit)
     return rows.select(*names)
 
 

@@ -1,8 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from shredloom.operators import attributes, pathset, profile, reports
+from shredloom.operators import attributes, pathset, profile, reports, top_rows
 
 FLAT = "TaxYear string, OBJECTID string, XPATH2 string"
 
@@ -75,6 +77,38 @@ def test_attribute_summary_counts_null_as_a_value(spark):
     assert rows(attributes.retrieve_attributes(table, "a", limit=1)) == [("a", "n", "/n", "e", "")]
 
 
+def test_top_rows_by_range_are_those_of_a_sort(spark, monkeypatch):
+    draw = random.Random(3)
+    data = [(draw.choice(["hot", "hot", None, f"k{draw.randint(0, 40)}"]), draw.randint(0, 9),
+             draw.choice([None, "x", "y"])) for _ in range(600)] + [("hot", 1, "x")] * 200
+    table = spark.createDataFrame(data, "a string, `b.c` long, d string")
+    order = [table[f"`{name}`"] for name in table.columns]
+    everything = [tuple(row) for row in table.orderBy(*order).collect()]
+    monkeypatch.setattr(top_rows, "AT_ONCE", 7)
+    nulls = sum(row[0] is None for row in data)
+    for n in (0, 5, 8, nulls, nulls + 1, 350, 799, 800, 5_000):
+        found = [tuple(row) for row in top_rows.top_rows(table, table.columns, n).collect()]
+        assert found == everything[:n], n
+    assert top_rows.top_rows(table.limit(0), table.columns, 50).isEmpty()
+
+
+def test_tables_are_counted_in_one_job(spark, tmp_path):
+    tables = {}
+    for k in range(4):
+        spark.range(10 * k).write.parquet(str(tmp_path / str(k)))
+        tables[str(k)] = spark.read.schema("id long").parquet(str(tmp_path / str(k)))
+    spark.sparkContext.setJobGroup("profile", "profile")
+    try:
+        out = profile.profile_tables(spark, tables)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("profile")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [row.n_rows for row in out.collect()] == [0, 10, 20, 30]
+    assert len(jobs) <= 1 + len(tables)  # with AQE one map stage of each table, one result
+    plan = profile._counted(tables)._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<>" in plan and "id:bigint" not in plan
+
+
 def test_profiles_and_previews(spark):
     good = spark.createDataFrame([(2, "b"), (1, "a")], "k long, v string")
     out = profile.profile_tables(spark, {"good": good, "bad": lambda: spark.read.parquet("/no/such/table")})
