@@ -11,6 +11,7 @@ from shredloom_checks.queries import AS_OF_YEAR, DRIVER_TABLES
 
 _H, _F = "/Return/ReturnHeader", "/Return/ReturnData/Form"
 _G = f"{_F}/LineItemGrp"
+ELSEWHERE = URL_BASE.replace("/xml/", "/other/")
 
 # f: one row per filing. l: one row per line with its position i of n. t: text of all lines.
 FILINGS = f"""
@@ -216,7 +217,9 @@ SQL: dict[str, str] = {
     "root_version": f"""{WITH_F}SELECT oid AS "OBJECTID", 'VERSION: ' || version AS "VALUE" FROM f""",
     "object_id": f"""{WITH_F}SELECT url AS "URL", oid AS "OBJECTID",
       oid AS "OBJECTID_KNOWN_BASE" FROM f
-      UNION ALL SELECT url, 'OID-' || regexp_replace(url, '^.*/', ''), 'OID-' || url FROM pages""",
+      UNION ALL SELECT replace(url, '/xml/', '/other/'), 'OID-' || '{ELSEWHERE}' || substr(oid, 5),
+        'OID-' || '{ELSEWHERE}' || substr(oid, 5) FROM f
+      UNION ALL SELECT url, 'OID-' || url, 'OID-' || url FROM pages""",
     "format_ein_id": f"""{_EIN_FORMS}'EIN-' || substr(CASE WHEN length(digits) < 9
       THEN lpad(digits, 9, '0') ELSE digits END, 1, 2) || '-' || substr(CASE WHEN
       length(digits) < 9 THEN lpad(digits, 9, '0') ELSE digits END, 3, 7) AS "EIN_ID" FROM d""",
@@ -299,9 +302,7 @@ SQL: dict[str, str] = {
     "build_year": f"""{WITH_F}SELECT {KEY_COLUMNS}, y AS "TaxYear" FROM f""",
     "build_single_year": f"""{WITH_F}SELECT {KEY_COLUMNS}, y AS "TaxYear" FROM f
       WHERE y = '1996'""",
-    "resume_year": _yearly(),
     "update_year": _yearly(),
-    "update_stream": _yearly(),
     "table_rows": f"""{WITH_E}SELECT oid AS "OBJECTID", var AS "VARIABLE_NAME", val AS "VALUE"
       FROM e WHERE typ = 'terminal' AND rdb = '{HEADER_TABLE}'""",
     "header_rows": f"""{WITH_E}SELECT xpath2 AS "XPATH2", CAST(count(*) AS BIGINT) AS n_rows FROM e
@@ -350,8 +351,7 @@ SQL: dict[str, str] = {
         f"""SELECT '{name}' AS table_name, (SELECT CAST(count(*) AS BIGINT) FROM {name}) AS n_rows,
           (SELECT CAST(count(*) AS INTEGER) FROM (DESCRIBE {name})) AS n_cols, false AS failed"""
         for name in DRIVER_TABLES) + " UNION ALL SELECT 'no_such_table', -1, -1, true",
-    "preview_table": """SELECT c_custkey, c_name, c_nationkey FROM customer
-      ORDER BY c_custkey, c_name, c_nationkey LIMIT 25""",
+    "preview_table": "SELECT * FROM customer ORDER BY ALL LIMIT 25",
     "xpath_report": f"""{WITH_E}SELECT xpath2 AS xpath, CAST(count(*) AS BIGINT)
       AS count_occurrences, string_agg(DISTINCT version, ', ' ORDER BY version) AS schema_versions
       FROM e GROUP BY xpath2""",
@@ -365,7 +365,8 @@ SQL: dict[str, str] = {
 
 SQL["xpath_report_of_elements"] = SQL["xpath_report"]
 SQL["process_xpaths_of_elements"] = SQL["process_xpaths"]
-SQL["update_stream_two_sources"] = SQL["shred_elements"]
+SQL["update_stream_two_sources"] = SQL["resume_year"] = SQL["shred_elements"]
+SQL["update_stream"] = SQL["merge_update_attributes"] = SQL["shred_attributes"]
 SQL["compact_store"] = SQL["shred_elements"]
 SQL["read_filings"] = "SELECT page_id, md5(regexp_replace(html, '\\n$', '')) AS md5 FROM pages"
 SQL["list_tables"] = " UNION ALL ".join(

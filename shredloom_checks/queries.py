@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shredloom import schemas
 from shredloom.functions import ids, paths, versions
 from shredloom.operators import (
     attributes, crosswalk, filing_index, merge, pathset, profile, reports, shred, wide)
@@ -123,7 +124,10 @@ def root_version(spark, sf):
 
 @query
 def object_id(spark, sf):
-    urls = fx.index(spark, sf).select("URL").unionByName(
+    """Filings of a known folder, the same names in an unknown folder, and web pages."""
+    filed = fx.index(spark, sf).select("URL")
+    elsewhere = filed.select(F.replace("URL", F.lit("/xml/"), F.lit("/other/")).alias("URL"))
+    urls = filed.unionByName(elsewhere).unionByName(
         fx.read(spark, sf, "pages").select(F.col("url").alias("URL")))
     known = ids.object_id(F.col("URL"), bases=(fx.URL_BASE,))
     return ids.normalize_ids(urls).withColumn("OBJECTID_KNOWN_BASE", known)
@@ -383,6 +387,15 @@ def merge_update_rows(spark, sf):
     return merged["FLATXML"].groupBy("TaxYear", "XPATH2").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query
+def merge_update_attributes(spark, sf):
+    """The attributes of the merged shards, old and new, each once."""
+    store = fx.long_store(spark, sf)
+    full = {name: store.table(name) for name in merge.MERGE_TABLES}
+    merged = merge.merge_update({name: even(df) for name, df in full.items()}, full)
+    return merged["ATTRIBUTES"].select(*schemas.ATTRIBUTES.fieldNames())
+
+
 @query
 def open_snapshot_returns(spark, sf):
     return open_snapshot(spark, fx.long_store(spark, sf).root)
@@ -428,7 +441,7 @@ def resume_year(spark, sf):
     jobs.resume_years(store, docs, index, crosswalk=names)
     if jobs.resume_years(store, docs, index, crosswalk=names) is not None:
         raise AssertionError("nothing may be pending any more")
-    return yearly_counts(store)
+    return store.table("FLATXML").drop("TaxYear")
 
 
 @query
@@ -457,7 +470,7 @@ def update_stream(spark, sf):
         stream = spark.readStream.schema("url string, xml string, TaxYear string").parquet(
             f"{root}/landing")
         start_update(stream, store, f"{root}/offsets", names).awaitTermination()
-    return yearly_counts(store)
+    return store.table("ATTRIBUTES").drop("TaxYear")
 
 
 @query
@@ -639,7 +652,7 @@ def profile_tables(spark, sf):
 
 @query
 def preview_table(spark, sf):
-    opened = {"customer": fx.read(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")}
+    opened = {"customer": fx.read(spark, sf, "customer")}
     return profile.preview_table(opened, "customer", 25)
 
 
