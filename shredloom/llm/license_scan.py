@@ -14,34 +14,91 @@ from pyspark.sql import functions as F
 
 from shredloom.llm.common import numbered, without
 
-# Short notices and opening sentences of public licenses.
+# Short notices and passages of public licenses.
 TEMPLATES = {
     "MIT": [
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
         "software and associated documentation files (the \"Software\"), to deal in the "
         "Software without restriction",
+        "The above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the Software.",
     ],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         "you may not use this file except in compliance with the License. You may obtain a copy "
         "of the License at",
+        "Unless required by applicable law or agreed to in writing, software distributed under "
+        "the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF "
+        "ANY KIND, either express or implied.",
     ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms "
         "of the GNU General Public License as published by the Free Software Foundation",
     ],
+    "LGPL": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This library is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation",
+    ],
+    "AGPL-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU Affero General Public License as published by the Free Software Foundation",
+    ],
     "BSD": [
         "Redistribution and use in source and binary forms, with or without modification, are "
         "permitted provided that the following conditions are met",
+        "may be used to endorse or promote products derived from this software without specific "
+        "prior written permission",
+    ],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+        "without fee is hereby granted, provided that the above copyright notice and this "
+        "permission notice appear in all copies",
+    ],
+    "Zlib": [
+        "This software is provided 'as-is', without any express or implied warranty. In no event "
+        "will the authors be held liable for any damages arising from the use of this software.",
     ],
+    "EPL-2.0": [
+        "This program and the accompanying materials are made available under the terms of the "
+        "Eclipse Public License 2.0",
+    ],
+    "Unlicense": ["This is free and unencumbered software released into the public domain."],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     ],
+    "CC0-1.0": [
+        "CC0 1.0 Universal",
+        "has dedicated the work to the public domain by waiving all of his or her rights to the "
+        "work worldwide under copyright law",
+    ],
+    "CC-BY-4.0": [
+        "Licensed under CC BY 4.0.",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License",
+    ],
+    "CC-BY-SA-4.0": [
+        "Licensed under CC BY-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International "
+        "License",
+    ],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0."],
     "All-rights-reserved": ["All rights reserved."],
 }
+# Identifiers in source file tags, by license.
+TAG = "SPDX-License-Identifier: "
+TAGGED = {
+    "MIT": ["MIT"], "Apache-2.0": ["Apache-2.0"], "GPL-3.0": ["GPL-3.0"],
+    "LGPL": ["LGPL-2.1", "LGPL-3.0"], "AGPL-3.0": ["AGPL-3.0"],
+    "BSD": ["BSD-2-Clause", "BSD-3-Clause"], "ISC": ["ISC"], "Zlib": ["Zlib"],
+    "EPL-2.0": ["EPL-2.0"], "MPL-2.0": ["MPL-2.0"], "Unlicense": ["Unlicense"],
+    "CC0-1.0": ["CC0-1.0"], "CC-BY-4.0": ["CC-BY-4.0"], "CC-BY-SA-4.0": ["CC-BY-SA-4.0"],
+    "CC-BY-NC-4.0": ["CC-BY-NC-4.0"],
+}
+for _name, _ids in TAGGED.items():
+    TEMPLATES[_name] += [TAG + _id for _id in _ids]
 
 SHINGLE = 3          # words; notices are too short for more
 WINDOW, STEP = 8, 4  # shingles of a text window, and between the starts of two
@@ -49,6 +106,7 @@ PIECE = WINDOW - STEP + 1  # any run of so many shingles lies inside one window
 BANDS = 14           # one minimum each: a piece of 3 shingles is met with 1 - (5/8)^14 > 99.8 %
 SHORT = 2            # templates of so few shingles are compared one shingle at a time
 MIN_CONTAINMENT = 0.8
+SAME_PLACE = 8       # words between the starts of two matches of one notice
 
 
 def word_split(text: Column) -> Column:
@@ -86,6 +144,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, list[str]] | None = None
     """One row per document and license found: the other columns of the document, `license`,
     `containment` (of its best template) and `word_at` (place of the first word looked at).
 
+    Of licenses found at one place those that fit less than another are left out.
     Null, empty and very short texts have no shingle and give no row. Very long texts are read
     whole. Repeated rows are reported each. Columns named as those added are replaced. All work
     is done within each row: nothing is shuffled. Templates are few, of fixed size, and held as
@@ -137,10 +196,15 @@ def scan_licenses(docs: DataFrame, templates: dict[str, list[str]] | None = None
             F.lit(name).alias("license"), best["containment"].alias("containment"),
             (-best["before"]).alias("word_at"))))
     found = F.sort_array(F.array_compact(F.array(*matches)), asc=False)
+    # Licenses of one family differ by a word: what is there is the one that fits best.
+    best_fits = F.filter(F.col("_all"), lambda x: ~F.exists(F.col("_all"), lambda y: (
+        y["license"] != x["license"]) & (y["containment"] > x["containment"]) & (
+        F.abs(y["word_at"] - x["word_at"]) <= SAME_PLACE)))
     first_of_license = F.filter(F.col("_found"), lambda x, i: (i == 0) | (
         F.get("_found", i - 1)["license"] != x["license"]))
     # The outer form, so that no filter on the array moves below and computes it again.
-    return retrieved.select(*rest, found.alias("_found")).select(
+    return retrieved.select(*rest, found.alias("_all")).select(
+        *rest, best_fits.alias("_found")).select(
         *rest, F.explode_outer(first_of_license).alias("_match")).where(
         F.col("_match").isNotNull()).select(
         *rest, "_match.license", "_match.containment",
