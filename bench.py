@@ -63,7 +63,7 @@ def main() -> None:
     timed("process_xpaths", lambda: run(reports.process_summary(
         store.table("PATHS"), YEARS, names, as_of_year=2001)))
     timed("summarize_attributes", lambda: run(
-        attributes.summarize_attributes(store.table("ATTRIBUTES"))))
+        attributes.summarize_sets(store.table("ATTRIBUTE_SETS"))))
 
     # Filings of about a thousand elements: every thirtieth one, its lines repeated. The share of
     # the total stays as it was; only the rate is reported.

@@ -66,6 +66,39 @@ def summarize_attributes(attributes: DataFrame) -> DataFrame:
     )
 
 
+def attribute_sets(attributes: DataFrame) -> DataFrame:
+    """Per attribute name, its distinct values and filings, each with its number of rows.
+
+    Both are counted in one pass; rows are combined in their tasks before they are shuffled by
+    name and item, so neither a dominant name nor a frequent value is a hot spot.
+    """
+    carried = ["TaxYear"] if "TaxYear" in attributes.columns else []
+    kinds = F.array(
+        F.struct(F.lit("value").alias("kind"), F.col("attr_value").alias("item")),
+        F.struct(F.lit("filing").alias("kind"), F.col("OBJECTID").alias("item")))
+    return (
+        attributes.select(*carried, "attr_name", F.explode(kinds).alias("of"))
+        .groupBy(*carried, "attr_name", F.col("of.kind").alias("kind"), F.col("of.item").alias("item"))
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+    )
+
+
+def summarize_sets(sets: DataFrame) -> DataFrame:
+    """`summarize_attributes` from the sets of a store, whose batches and years merge.
+
+    No attribute row is read. A value or filing that several batches have is one.
+    """
+    value = F.col("kind") == "value"
+    return (
+        sets.groupBy("attr_name", "kind", "item").agg(F.sum("n_rows").alias("n_rows"))
+        .groupBy("attr_name")
+        .agg(F.sum(F.when(value, F.col("n_rows"))).alias("n_records"),
+             F.count_if(~value).alias("n_objects"), F.count_if(value).alias("n_unique_vals"),
+             F.min(F.when(value & (F.col("item") != ""), F.col("item"))).alias("example_value"))
+        .orderBy(F.desc("n_records"), "attr_name")
+    )
+
+
 def summarize_attribute_table(attributes: DataFrame) -> DataFrame:
     """Usage of all attributes of a stored table."""
     return summarize_attributes(retrieve_attributes(attributes))

@@ -42,6 +42,10 @@ KEYS = T.StructType(_strings(
 PATHS = T.StructType([
     *_strings("XPATH2", "TYPE", "RDB_TABLE", "VERSION"), T.StructField("n_rows", T.LongType())])
 
+# The distinct values and filings of each attribute name in a batch: what usage is counted from.
+ATTRIBUTE_SETS = T.StructType([
+    *_strings("attr_name", "kind", "item"), T.StructField("n_rows", T.LongType())])
+
 FAILED_URLS = T.StructType(_strings("url", "stage", "reason"))
 
 COMMITS = T.StructType([

@@ -1,4 +1,4 @@
-"""The long store: FLATXML, ATTRIBUTES, KEYS, PATHS and FAILED_URLS in Parquet under one root.
+"""The long store: FLATXML, ATTRIBUTES, KEYS, dead letters and summaries in Parquet, one root.
 
     <root>/<table>/BATCH=<id>/TaxYear=<year>/…      FLATXML also by STATUS=ok|failed
     <root>/COMMITS/                                 one row per finished batch, written last
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shredloom import schemas
+from shredloom.operators.attributes import attribute_sets
 from shredloom.operators.identity import matched
 from shredloom.operators.shred import attributes_of, failures_of, keys_of, long_rows, paths_of
 from shredloom.session import path_exists, remove_path
@@ -32,11 +33,12 @@ TABLES = {
     "ATTRIBUTES": schemas.ATTRIBUTES.fields,
     "KEYS": schemas.KEYS.fields,
     "PATHS": schemas.PATHS.fields,
+    "ATTRIBUTE_SETS": schemas.ATTRIBUTE_SETS.fields,
     "FAILED_URLS": schemas.FAILED_URLS.fields,
 }
 USER_COLUMNS = {
     "FLATXML": schemas.FLATXML, "ATTRIBUTES": schemas.ATTRIBUTES, "KEYS": schemas.KEYS,
-    "PATHS": schemas.PATHS, "FAILED_URLS": schemas.FAILED_URLS,
+    "PATHS": schemas.PATHS, "ATTRIBUTE_SETS": schemas.ATTRIBUTE_SETS, "FAILED_URLS": schemas.FAILED_URLS,
 }
 
 
@@ -114,6 +116,9 @@ class LongStore:
             self._batch_path("FLATXML", batch))
         good = stored.where(F.col("STATUS") == "ok")
         self._write("ATTRIBUTES", batch, attributes_of(good))
+        self._write("ATTRIBUTE_SETS", batch, attribute_sets(self.spark.read.schema(
+            T.StructType(TABLES["ATTRIBUTES"] + [YEAR])).parquet(
+                self._batch_path("ATTRIBUTES", batch))))
         self._write("PATHS", batch, paths_of(good).coalesce(1))
         failures = failures_of(stored.where(F.col("STATUS") == "failed"))
         self._write("FAILED_URLS", batch, failures if refused is None else failures.unionByName(
@@ -160,6 +165,12 @@ class LongStore:
         by = ("TaxYear", "XPATH2", "TYPE", "RDB_TABLE", "VERSION")
         self._write("PATHS", batch, paths.groupBy(*by).agg(
             F.sum("n_rows").alias("n_rows")).coalesce(1))
+        by = ("TaxYear", "attr_name", "kind", "item")
+        sets = self._stored("ATTRIBUTE_SETS", T.StructType(
+            TABLES["ATTRIBUTE_SETS"] + [YEAR, BATCH])).where(kept)
+        self._write("ATTRIBUTE_SETS", batch, self._in_ranges(
+            sets.groupBy(*by).agg(F.sum("n_rows").alias("n_rows")), by, counts["n_elements"],
+            rows_per_file))
         self._commit(batch, counts, old)
         return counts
 

@@ -368,6 +368,7 @@ SQL["process_xpaths_of_elements"] = SQL["process_xpaths"]
 SQL["update_stream_two_sources"] = SQL["resume_year"] = SQL["shred_elements"]
 SQL["update_stream"] = SQL["merge_update_attributes"] = SQL["shred_attributes"]
 SQL["compact_store"] = SQL["shred_elements"]
+SQL["summarize_attribute_rows"] = SQL["summarize_attribute_table"]
 SQL["read_filings"] = "SELECT page_id, md5(regexp_replace(html, '\\n$', '')) AS md5 FROM pages"
 SQL["list_tables"] = " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, count(*) AS n_rows, 'view' AS src FROM {name}"

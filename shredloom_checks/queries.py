@@ -639,6 +639,13 @@ def summarize_attributes(spark, sf):
 
 @query
 def summarize_attribute_table(spark, sf):
+    """From the sets of the store, all years merged."""
+    return attributes.summarize_sets(fx.long_store(spark, sf).table("ATTRIBUTE_SETS"))
+
+
+@query
+def summarize_attribute_rows(spark, sf):
+    """The same from the attribute rows themselves."""
     return attributes.summarize_attribute_table(stored_attributes(spark, sf))
 
 
