@@ -47,10 +47,12 @@ def op2_embedding_dedup(spark, sf):
 
 @query
 def op3_token_counts(spark, sf):
-    """Unigram tokens of each document, pieces and their ranks from a public vocabulary."""
+    """Unigram tokens of each document: a public vocabulary's pieces, scored by all documents."""
     tokens = tokenizers()
-    scores = token_counts.zipf_scores(read_ranks(tokens.path("byte_bpe_50k.tiktoken")))
     docs = table(spark, sf, "documents").select("doc_id", "text")
+    scores = token_counts.estimated_scores(
+        docs, token_counts.zipf_scores(read_ranks(tokens.path("byte_bpe_50k.tiktoken"))),
+        tokens.PATTERN)
     return token_counts.count_tokens(docs, scores, tokens.PATTERN)
 
 

@@ -1,21 +1,29 @@
-"""Tokens of each text under a unigram model, counted over a trie of distinct pre-tokens."""
+"""Tokens of each text under a unigram model, counted over a trie of distinct pre-tokens.
+
+The model's pieces are a public vocabulary's. How likely they are is estimated from all texts by
+a hard expectation step: each text is cut in the best way under the scores so far, the pieces
+used are counted, and a piece's new score is the logarithm of its share.
+"""
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shredloom.llm.vocabulary import splitter
 
 MAX_NODES = 800_000   # of a task's trie; what does not fit is scored without being stored
+MAX_WORDS = 200_000   # distinct pre-tokens counted before their pieces are passed on
 
 
 def zipf_scores(ranks: dict[bytes, int]) -> dict[bytes, float]:
-    """Log probabilities of a unigram model whose pieces follow Zipf's law by rank."""
+    """Where estimation starts: log probabilities that follow Zipf's law by rank."""
     total = math.log(sum(1.0 / (rank + 1) for rank in ranks.values()))
     return {piece: -math.log(rank + 1) - total for piece, rank in ranks.items()}
 
@@ -23,29 +31,43 @@ def zipf_scores(ranks: dict[bytes, int]) -> dict[bytes, float]:
 class PrefixTrie:
     """Forward scores by node: the best log probability of the prefix that ends there.
 
-    A node keeps (score, pieces) of its prefix; inserting a pre-token computes only the nodes
-    that no earlier one has. At equal scores the segmentation with fewer pieces wins.
+    A node keeps (score, pieces, start of the last piece) of its prefix; inserting a pre-token
+    computes only the nodes that no earlier one has. At equal scores the segmentation with fewer
+    pieces wins, then the one with the longest last piece.
     """
 
     def __init__(self, scores: dict[bytes, float], max_nodes: int = MAX_NODES):
         self.scores, self.longest, self.max_nodes = scores, max(map(len, scores)), max_nodes
         self.children: dict[int, int] = {}
-        self.best: list[tuple[float, int]] = [(0.0, 0)]
+        self.best: list[tuple[float, int, int]] = [(0.0, 0, 0)]
 
-    def forward(self, word: bytes, end: int, path: list[tuple[float, int]]) -> tuple[float, int]:
-        """Best (score, pieces) of word[:end], given those of all shorter prefixes."""
-        best, fewest, score = -math.inf, 0, self.scores.get
+    def forward(self, word: bytes, end: int,
+                path: list[tuple[float, int, int]]) -> tuple[float, int, int]:
+        """Best (score, pieces, start of the last) of word[:end], given all shorter prefixes'."""
+        best, fewest, first, score = -math.inf, 0, 0, self.scores.get
         for start in range(end - self.longest if end > self.longest else 0, end):
             own = score(word[start:end])
             if own is not None:
-                total, pieces = path[start]
+                total, pieces, _ = path[start]
                 total += own
                 if total > best or total == best and pieces < fewest:
-                    best, fewest = total, pieces
-        return best, fewest + 1
+                    best, fewest, first = total, pieces, start
+        return best, fewest + 1, first
 
     def insert(self, word: bytes) -> int:
         """Number of pieces of the best segmentation, found at the pre-token's terminal."""
+        return self.path(word)[-1][1]
+
+    def segments(self, word: bytes) -> Iterator[bytes]:
+        """The pieces of the best segmentation, the last one first."""
+        path, end = self.path(word), len(word)
+        while end:
+            start = path[end][2]
+            yield word[start:end]
+            end = start
+
+    def path(self, word: bytes) -> list[tuple[float, int, int]]:
+        """The nodes of all prefixes of a pre-token, those it adds included."""
         children, best = self.children, self.best
         node, path = 0, [best[0]]
         for end, byte in enumerate(word, 1):
@@ -59,7 +81,7 @@ class PrefixTrie:
                 path.append(here)
             else:
                 path.append(best[node])
-        return path[-1][1]
+        return path
 
 
 class TokenCounts(dict):
@@ -76,14 +98,63 @@ class TokenCounts(dict):
         return count
 
 
+def piece_counts(docs: DataFrame, scores: dict[bytes, float], pattern: str,
+                 text: str = "text", max_words: int = MAX_WORDS) -> DataFrame:
+    """(piece, n): how often the best segmentations of all whole texts use each piece.
+
+    A task counts its pre-tokens, cuts each distinct one once over a trie, and passes on one row
+    per piece; so what is shuffled is at most the vocabulary for each `max_words` distinct
+    pre-tokens of a task, and no frequent word is a hot spot.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(scores)
+
+    def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = splitter(pattern).findall
+
+        def cut(known: Counter[str]) -> pa.RecordBatch:
+            trie, used = PrefixTrie(shared.value), Counter()
+            for word, n in known.items():
+                for piece in trie.segments(word.encode()):
+                    used[piece] += n
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(used), pa.binary()), pa.array(list(used.values()), pa.int64())],
+                names=["piece", "n"])
+
+        known: Counter[str] = Counter()
+        for batch in batches:
+            for value in batch.column(text):
+                known.update(find(value.as_py() or ""))
+                if len(known) > max_words:
+                    yield cut(known)
+                    known = Counter()
+        yield cut(known)
+
+    return docs.select(text).mapInArrow(count_batches, "piece binary, n long").groupBy(
+        "piece").agg(F.sum("n").alias("n"))
+
+
+def estimated_scores(docs: DataFrame, scores: dict[bytes, float], pattern: str,
+                     text: str = "text", steps: int = 1) -> dict[bytes, float]:
+    """Scores after `steps` expectation steps over all texts, each count one larger.
+
+    Only the counts of the vocabulary's pieces reach the driver, a number that is fixed; a piece
+    never used keeps a score, so every text still has a segmentation. Without texts all are equal.
+    """
+    for _ in range(steps):
+        used = {bytes(row.piece): row.n for row in piece_counts(docs, scores, pattern, text).collect()}
+        total = math.log(sum(used.values()) + len(scores))
+        scores = {piece: math.log(used.get(piece, 0) + 1) - total for piece in scores}
+    return scores
+
+
 def count_tokens(docs: DataFrame, scores: dict[bytes, float], pattern: str,
                  text: str = "text") -> DataFrame:
     """The other columns with `n_pretokens` and `n_tokens` of each whole text; 0 for null or empty.
 
-
     Every single byte must have a score, so that each text has a segmentation. A trie lives as
-    long as its task and is bounded in nodes; beyond the bound prefixes are scored anew. Nothing is shuffled. Repeated rows are counted
-    each; columns of the input with these names are replaced.
+    long as its task and is bounded in nodes; beyond the bound prefixes are scored anew. Nothing
+    is shuffled. Repeated rows are counted each; columns of the input with these names are
+    replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(scores)
     kept = [c for c in docs.columns if c not in ("n_pretokens", "n_tokens", text)]

@@ -1,6 +1,7 @@
 """Operators that SQL cannot express, against plain Python on the smallest tables."""
 
 import collections
+import math
 import random
 
 import numpy as np
@@ -76,24 +77,43 @@ def test_subspaces_lose_no_pair(spark):
 
 def test_token_counts(spark):
     ranks = read_ranks(tokenizers().path("byte_bpe_50k.tiktoken"))
-    scores, cut = token_counts.zipf_scores(ranks), splitter(tokenizers().PATTERN)
+    start, cut = token_counts.zipf_scores(ranks), splitter(tokenizers().PATTERN)
 
-    def fewest(word):
-        best = [(0.0, 0)]
+    def best_pieces(word, scores):
+        best = [(0.0, 0, ())]
         for end in range(1, len(word) + 1):
-            options = [(best[s][0] + scores[word[s:end]], -best[s][1]) for s in range(end)
-                       if word[s:end] in scores]
-            top = max(options)
-            best.append((top[0], 1 - top[1]))
-        return best[-1][1]
-
-    known = {}
-    got = {r.doc_id: r for r in QUERIES["op3_token_counts"](spark, SF).collect()}
-    for doc, text in texts(spark).items():
-        parts = cut.findall(text)
-        total = sum(known.setdefault(p, None) or known.__setitem__(p, fewest(p.encode()))
-                    or known[p] for p in parts)
-        assert (got[doc].n_pretokens, got[doc].n_tokens) == (len(parts), total)
+            score, less, s = max((best[s][0] + scores[word[s:end]], -best[s][1], -s)
+                                 for s in range(end) if word[s:end] in scores)
+            best.append((score, 1 - less, (*best[-s][2], word[-s:end])))
+        return best[-1][2]
+
+    parts = {doc: cut.findall(text) for doc, text in texts(spark).items()}
+    words = collections.Counter(part for row in parts.values() for part in row)
+    used = collections.Counter()
+    for word, n in words.items():
+        for piece in best_pieces(word.encode(), start):
+            used[piece] += n
+    docs = table(spark, SF, "documents")
+    for limit in (token_counts.MAX_WORDS, 50):  # pieces passed on once and many times
+        assert used == {bytes(r.piece): r.n for r in token_counts.piece_counts(
+            docs, start, tokenizers().PATTERN, max_words=limit).collect()}
+    total = math.log(sum(used.values()) + len(start))
+    for scores, found in (
+            (start, token_counts.count_tokens(docs, start, tokenizers().PATTERN)),
+            ({p: math.log(used[p] + 1) - total for p in start}, QUERIES["op3_token_counts"](spark, SF))):
+        lengths = {word: len(best_pieces(word.encode(), scores)) for word in words}
+        got = {r.doc_id: r for r in found.collect()}
+        for doc, row in parts.items():
+            assert (got[doc].n_pretokens, got[doc].n_tokens) == (
+                len(row), sum(lengths[part] for part in row))
+
+
+def test_estimation_of_nothing_is_even(spark):
+    scores = {b"a": -1.0, b"b": -2.0, b"ab": -3.0}
+    empty = spark.createDataFrame([(None,), ("",)], "text string")
+    for docs in (empty, empty.limit(0)):
+        got = token_counts.estimated_scores(docs, scores, r"\w+", steps=2)
+        assert set(got) == set(scores) and len(set(got.values())) == 1
 
 
 def test_small_trie_scores_alike():
