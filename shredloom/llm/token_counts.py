@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from shredloom.llm.vocabulary import splitter
 
 MAX_NODES = 800_000   # of a task's trie; what does not fit is scored without being stored
+UNKNOWN = object()    # score of what no piece ends with
 MAX_WORDS = 200_000   # distinct pre-tokens counted before their pieces are passed on
 
 
@@ -37,7 +38,11 @@ class PrefixTrie:
     """
 
     def __init__(self, scores: dict[bytes, float], max_nodes: int = MAX_NODES):
-        self.scores, self.longest, self.max_nodes = scores, max(map(len, scores)), max_nodes
+        # What no piece ends with is not here: then no longer one ends there either.
+        self.scores: dict[bytes, float | None] = dict.fromkeys(
+            piece[k:] for piece in scores for k in range(1, len(piece)))
+        self.scores.update(scores)
+        self.max_nodes = max_nodes
         self.children: dict[int, int] = {}
         self.best: list[tuple[float, int, int]] = [(0.0, 0, 0)]
 
@@ -45,13 +50,16 @@ class PrefixTrie:
                 path: list[tuple[float, int, int]]) -> tuple[float, int, int]:
         """Best (score, pieces, start of the last) of word[:end], given all shorter prefixes'."""
         best, fewest, first, score = -math.inf, 0, 0, self.scores.get
-        for start in range(end - self.longest if end > self.longest else 0, end):
-            own = score(word[start:end])
-            if own is not None:
-                total, pieces, _ = path[start]
-                total += own
-                if total > best or total == best and pieces < fewest:
-                    best, fewest, first = total, pieces, start
+        for start in range(end - 1, -1, -1):
+            own = score(word[start:end], UNKNOWN)
+            if own is None:
+                continue
+            if own is UNKNOWN:
+                break
+            total, pieces, _ = path[start]
+            total += own
+            if total > best or total == best and pieces <= fewest:
+                best, fewest, first = total, pieces, start
         return best, fewest + 1, first
 
     def insert(self, word: bytes) -> int:
@@ -102,35 +110,40 @@ def piece_counts(docs: DataFrame, scores: dict[bytes, float], pattern: str,
                  text: str = "text", max_words: int = MAX_WORDS) -> DataFrame:
     """(piece, n): how often the best segmentations of all whole texts use each piece.
 
-    A task counts its pre-tokens, cuts each distinct one once over a trie, and passes on one row
-    per piece; so what is shuffled is at most the vocabulary for each `max_words` distinct
-    pre-tokens of a task, and no frequent word is a hot spot.
+    A task counts its pre-tokens and passes on one row for each `max_words` or fewer distinct
+    ones, so no frequent word is a hot spot. Each distinct pre-token of the corpus is then cut
+    once, over a trie, and its pieces are added up: one row per piece and task.
     """
     shared = docs.sparkSession.sparkContext.broadcast(scores)
 
-    def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = splitter(pattern).findall
+    def rows(name: str, counts: Counter, kind: pa.DataType) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(counts), kind), pa.array(list(counts.values()), pa.int64())],
+            names=[name, "n"])
 
-        def cut(known: Counter[str]) -> pa.RecordBatch:
-            trie, used = PrefixTrie(shared.value), Counter()
-            for word, n in known.items():
-                for piece in trie.segments(word.encode()):
-                    used[piece] += n
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(used), pa.binary()), pa.array(list(used.values()), pa.int64())],
-                names=["piece", "n"])
-
-        known: Counter[str] = Counter()
+    def find_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find, known = splitter(pattern).findall, Counter()
         for batch in batches:
             for value in batch.column(text):
                 known.update(find(value.as_py() or ""))
                 if len(known) > max_words:
-                    yield cut(known)
+                    yield rows("word", known, pa.string())
                     known = Counter()
-        yield cut(known)
+        yield rows("word", known, pa.string())
+
+    def cut_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie, used = PrefixTrie(shared.value), Counter()
+        for batch in batches:
+            for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
+                for piece in trie.segments(word.encode()):
+                    used[piece] += n
+        yield rows("piece", used, pa.binary())
+
+    def added(found: DataFrame, name: str) -> DataFrame:
+        return found.groupBy(name).agg(F.sum("n").alias("n"))
 
-    return docs.select(text).mapInArrow(count_batches, "piece binary, n long").groupBy(
-        "piece").agg(F.sum("n").alias("n"))
+    words = added(docs.select(text).mapInArrow(find_words, "word string, n long"), "word")
+    return added(words.mapInArrow(cut_words, "piece binary, n long"), "piece")
 
 
 def estimated_scores(docs: DataFrame, scores: dict[bytes, float], pattern: str,

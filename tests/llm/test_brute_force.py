@@ -108,6 +108,11 @@ def test_token_counts(spark):
                 len(row), sum(lengths[part] for part in row))
 
 
+def test_a_certain_piece_ends_no_search():
+    trie = token_counts.PrefixTrie({b"a": 0.0, b"ab": -1.0, b"b": -5.0})
+    assert list(trie.segments(b"aab")) == [b"ab", b"a"] and trie.insert(b"aaaa") == 4
+
+
 def test_estimation_of_nothing_is_even(spark):
     scores = {b"a": -1.0, b"b": -2.0, b"ab": -3.0}
     empty = spark.createDataFrame([(None,), ("",)], "text string")
