@@ -10,6 +10,7 @@ from shredloom.session import scratch_path
 
 
 BROADCAST_LINKS = 400_000  # up to so many links, minima (a node and a label each) are broadcast
+LINKS_PER_TASK = 50_000
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b",
@@ -20,7 +21,9 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b",
     written to the shared folder, where it replaces the round before. Minima are combined in
     each task before they move; they are broadcast while the counted links bound their size,
     else joined, and a node with very many links only makes the many side of that join hot,
-    which adaptive execution splits. Nothing but a count and a checksum of the links reaches
+    which adaptive execution splits. While broadcast, links are kept in as few tasks and files as
+    their number asks for: rounds over few links are many, and would leave the files of all
+    shuffle partitions. Nothing but a count and a checksum of the links reaches
     the driver. Ends after about log(n) rounds. Null ends and links to oneself count for nothing.
     """
     spark = links.sparkSession
@@ -36,7 +39,9 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b",
     seen = state(now)
     while True:
         small = seen[0] <= broadcast_links
-        new, new_place = written(small_star(large_star(now, small), small))
+        tasks = max(1, seen[0] // LINKS_PER_TASK) if small else 0
+        kept = packed(now, tasks)
+        new, new_place = written(packed(small_star(large_star(kept, tasks), tasks), tasks))
         dropped(spark, place)
         now, place = new, new_place
         reached = state(now)
@@ -53,22 +58,28 @@ def state(links: DataFrame) -> tuple:
                  .first())
 
 
-def with_least(links: DataFrame, least: DataFrame, small: bool) -> DataFrame:
-    return links.join(F.broadcast(least) if small else least, F.col("u") == F.col("w"))
+def packed(rows: DataFrame, tasks: int) -> DataFrame:
+    """In that many tasks at most; 0 leaves them as they are."""
+    return rows.coalesce(tasks) if tasks else rows
 
 
-def large_star(links: DataFrame, small: bool) -> DataFrame:
+def with_least(links: DataFrame, least: DataFrame, tasks: int) -> DataFrame:
+    return links.join(F.broadcast(packed(least, tasks)) if tasks else least,
+                      F.col("u") == F.col("w"))
+
+
+def large_star(links: DataFrame, tasks: int) -> DataFrame:
     """Links every larger neighbour of a node to the smallest of the node and its neighbours."""
     both = links.union(links.select("v", "u")).toDF("u", "v")
     least = both.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m")).select(
         "w", F.least("w", "m").alias("m"))
-    return with_least(both.where(F.col("v") > F.col("u")), least, small).select(
+    return with_least(both.where(F.col("v") > F.col("u")), least, tasks).select(
         F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v"))
 
 
-def small_star(links: DataFrame, small: bool) -> DataFrame:
+def small_star(links: DataFrame, tasks: int) -> DataFrame:
     """Links a node and its smaller neighbours to the smallest of them; each link once."""
     down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
-    moved = with_least(down, least, small).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = with_least(down, least, tasks).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.toDF("u", "v")).where(F.col("u") != F.col("v")).distinct()

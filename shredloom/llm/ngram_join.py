@@ -7,15 +7,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shredloom.llm.common import dropped, settled, stored
+from shredloom.llm.common import settled, stored
 from shredloom.llm.components import connected_components
 from shredloom.llm.shingles import (
     PartEnum, links_within, most_common, profile, set_key, shingle_set, similar)
 from shredloom.operators.sizing import fits_broadcast
-from shredloom.session import scratch_path
 
 LENGTH = 4
 PERCENT = 85
@@ -24,55 +24,96 @@ GROUP = 256           # sets of small clusters compared in one group
 FEW = 32              # classes of a signature whose pairs are looked up
 GROUP_BYTES = 16 << 20  # sets compared in one group
 CHUNK = 64            # documents whose signatures are made at once
+SEEN = 1_000_000      # sets that a task remembers to have signed
 BROADCAST_ROWS = 500_000
 
 
-def small(df: DataFrame) -> DataFrame:
+def small(df: DataFrame, otherwise: str | None = None) -> DataFrame:
     """Marked for broadcast if its measured rows and bytes fit, else left to a shuffle."""
-    return F.broadcast(df) if fits_broadcast(df, BROADCAST_ROWS, 32 << 20) else df
+    if fits_broadcast(df, BROADCAST_ROWS, 32 << 20):
+        return F.broadcast(df)
+    return df.hint(otherwise) if otherwise else df
 
 
-def read_sets(docs: DataFrame, doc_id: str, text: str, length: int, percent: int,
-              signatures: bool) -> DataFrame:
-    """(doc_id, n, key, profile, data): size, identity, and signatures or features of each set.
+def batches_of(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    return (rows.slice(start, CHUNK) for start in range(0, rows.num_rows, CHUNK))
 
-    `data` holds 64-bit numbers as bytes; a profile comes with the signatures. Documents without
-    words have n = 0 and a null key.
+
+def node_of(key: bytes, seed: int) -> int:
+    """64 bits of a set's identity, as a signed number."""
+    return xxhash.xxh3_64_intdigest(key, seed) - (1 << 63)
+
+
+def read_rows(docs: DataFrame, doc_id: str, text: str, length: int, seed: int) -> DataFrame:
+    """(doc_id, n, key, node, profile): size, identity and profile of each document's set.
+
+    Documents without words have n = 0 and nulls.
     """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scheme = PartEnum(percent)
         for batch in batches:
-            for start in range(0, batch.num_rows, CHUNK):
-                rows = batch.slice(start, CHUNK)
+            for rows in batches_of(batch):
                 sets = [shingle_set(t, length) for t in rows.column("text").to_pylist()]
-                data = scheme.signatures(sets) if signatures else sets
+                keys = [set_key(s) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays([
                     rows.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([set_key(s) if len(s) else None for s in sets], pa.binary()),
-                    pa.array([profile(s).tobytes() if signatures and len(s) else None
-                              for s in sets], pa.binary()),
-                    pa.array([d.tobytes() for d in data], pa.binary())],
-                    names=["doc_id", "n", "key", "profile", "data"])
+                    pa.array(keys, pa.binary()),
+                    pa.array([None if k is None else node_of(k, seed) for k in keys], pa.int64()),
+                    pa.array([profile(s).tobytes() if len(s) else None for s in sets],
+                             pa.binary())], names=["doc_id", "n", "key", "node", "profile"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        read, f"doc_id {kind}, n long, key binary, profile binary, data binary")
+        read, f"doc_id {kind}, n long, key binary, node long, profile binary")
 
 
-def unpacked(rows: DataFrame) -> DataFrame:
-    """(sig, node) from rows with packed signatures: a flat map over Arrow batches."""
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def read_sets(docs: DataFrame, doc_id: str, text: str, length: int, seed: int) -> DataFrame:
+    """(doc_id, n, node, data): the features of each document's set, 64-bit numbers as bytes."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                data = part.column("data").to_pylist()
-                node = part.column("node").to_numpy()
+            for rows in batches_of(batch):
+                sets = [shingle_set(t, length) for t in rows.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.frombuffer(b"".join(data), np.int64)),
-                    pa.array(np.repeat(node, [len(d) // 8 for d in data]))],
-                    names=["sig", "node"])
+                    rows.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([node_of(set_key(s), seed) if len(s) else None for s in sets],
+                             pa.int64()),
+                    pa.array([s.tobytes() for s in sets], pa.binary())],
+                    names=["doc_id", "n", "node", "data"])
+
+    kind = docs.schema[doc_id].dataType.simpleString()
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
+        read, f"doc_id {kind}, n long, node long, data binary")
 
-    return rows.select("node", "data").mapInArrow(unpack, "sig long, node long")
+
+def read_signatures(docs: DataFrame, text: str, length: int, percent: int,
+                    seed: int) -> DataFrame:
+    """(sig, node): the signatures of each set, mostly once for the copies that a task reads.
+
+    They are made from the texts as they are shuffled, so no table of them is written and no
+    text moves.
+    """
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scheme, seen = PartEnum(percent), set()
+        for batch in batches:
+            for rows in batches_of(batch):
+                new = {}
+                for value in rows.column("text").to_pylist():
+                    features = shingle_set(value, length)
+                    if len(features):
+                        node = node_of(set_key(features), seed)
+                        if node not in seen:
+                            new.setdefault(node, features)
+                if len(seen) >= SEEN:  # memory only: repeats are dropped later
+                    seen.clear()
+                seen.update(new)
+                signatures = scheme.signatures(list(new.values()))
+                if new:
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.concatenate(signatures).view(np.int64)),
+                        pa.array(np.repeat(np.array(list(new), np.int64),
+                                           [len(s) for s in signatures]))],
+                        names=["sig", "node"])
+
+    return docs.select(F.col(text).alias("text")).mapInArrow(read, "sig long, node long")
 
 
 def possible(percent: int):
@@ -150,45 +191,39 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     null text, have size 0 and are their own component. Rows with one id are documents of their
     own; a null id takes part, and names a component only if no other id is in it.
     """
-    signatures = scratch_path(docs.sparkSession, "signatures")
-    read_sets(docs, doc_id, text, length, percent, True).write.parquet(signatures)
-    signed = docs.sparkSession.read.parquet(signatures)
-    rows = stored(signed.select("doc_id", "n", "key"), "shingle-sets")
-    full = rows.where(F.col("n") > 0)
-    classes = settled(full.groupBy("key").agg(
-        F.min("doc_id").alias("least"), F.first("n").alias("n")).withColumn(
-        "node", F.monotonically_increasing_id()))
-    parts = class_components(docs, signatures, classes, doc_id, text, length, percent)
+    seed = 0
+    while True:
+        rows = stored(read_rows(docs, doc_id, text, length, seed), "shingle-sets")
+        classes = settled(rows.where(F.col("n") > 0).groupBy("node").agg(
+            F.min("doc_id").alias("least"), F.first("n").alias("n"),
+            (F.min("key") != F.max("key")).alias("clash")))
+        if classes.where("clash").isEmpty():
+            break
+        seed += 1  # two sets with the same 64 bits: others tell them apart
+    classes = classes.select("node", "least", "n")
+    parts = class_components(docs, rows, classes, doc_id, text, length, percent, seed)
     labelled = classes.join(small(settled(parts)), "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     named = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    per_class = settled(labelled.join(named, "component").select("key", "component_id"))
-    found = rows.select("doc_id", "n", "key").join(small(per_class), "key", "left")
+    per_class = settled(labelled.join(named, "component").select("node", "component_id"))
+    found = rows.select("doc_id", "n", "node").join(small(per_class), "node", "left")
     return found.select("doc_id", F.col("n").alias("n_shingles"), F.when(
-        F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias(
+        F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias(
         "component_id"))
 
 
-def class_components(docs: DataFrame, signatures: str, classes: DataFrame, doc_id: str,
-                     text: str, length: int, percent: int) -> DataFrame:
-    """(node, component) of every class that links to another.
-
-    The table of all signatures is removed as soon as the shared ones are found.
-    """
-    spark = docs.sparkSession
-    firsts = spark.read.parquet(signatures).join(
-        small(classes.select("key", "least", "node")), "key").where(
-        F.col("doc_id").eqNullSafe(F.col("least")))
-    # Nearly all signatures are met once. The rows move one time, and stay if a neighbour in
-    # the sorted partition has the same signature.
-    beside = Window.partitionBy("sig").orderBy("node")
-    members = stored(unpacked(firsts).withColumns({
-        "_before": F.lag("node").over(beside), "_after": F.lead("node").over(beside)}).where(
-        F.col("_before").isNotNull() | F.col("_after").isNotNull()).select("sig", "node"), "members")
+def class_components(docs: DataFrame, rows: DataFrame, classes: DataFrame, doc_id: str,
+                     text: str, length: int, percent: int, seed: int) -> DataFrame:
+    """(node, component) of every class that links to another."""
+    # Nearly all signatures are met once. The rows move one time, and stay if their signature
+    # has another class. A class comes once from each task that read one of its copies.
+    same = Window.partitionBy("sig")
+    members = stored(read_signatures(docs, text, length, percent, seed).withColumns({
+        "_low": F.min("node").over(same), "_high": F.max("node").over(same)}).where(
+        F.col("_low") < F.col("_high")).select("sig", "node").dropDuplicates(), "members")
     met = small(settled(members.select("node").distinct()))
-    profiles = stored(firsts.join(met, "node", "left_semi").select("node", "n", "profile")
+    profiles = stored(rows.select("node", "n", "profile").join(met, "node", "left_semi")
                       .dropDuplicates(["node"]), "profiles")
-    dropped(spark, signatures)
     sizes = classes.select("node", "n")
 
     def links_of(pairs: DataFrame) -> DataFrame:
@@ -196,7 +231,7 @@ def class_components(docs: DataFrame, signatures: str, classes: DataFrame, doc_i
                                     F.col("profile").alias(f"{c}_profile")) for c in ("a", "b"))
         close = settled(pairs.join(small(two), "b").join(small(one), "a").where(
             possible(percent)("a_n", "a_profile", "b_n", "b_profile")).select("a", "b"))
-        return verified_links(docs, classes, close, doc_id, text, length, percent)
+        return verified_links(docs, classes, close, doc_id, text, length, percent, seed)
 
     members = promising(members, sizes, percent)
     hubs = members.groupBy("sig").agg(F.min("node").alias("first"))
@@ -221,7 +256,7 @@ def class_components(docs: DataFrame, signatures: str, classes: DataFrame, doc_i
         pairs_of_few(few, sizes, percent), sizes, percent)))
     many = settled(left.where(F.col("rows") > FEW).select("hub", "node", "component").distinct())
     clusters = settled(connected_components(many, "hub", "node"))
-    sets = sets_of(docs, classes, clusters.select("node"), doc_id, text, length, percent)
+    sets = sets_of(docs, classes, clusters.select("node"), doc_id, text, length, seed)
     tiles = tile_links(clusters, many, sets.dropDuplicates(["node"]), percent)
     # Later links are between components, so only those need to be joined again.
     both = near.join(small(parts.toDF("node", "of_node")), "node", "left").join(
@@ -260,7 +295,7 @@ def pairs_of_few(members: DataFrame, sizes: DataFrame, percent: int) -> DataFram
 
 
 def verified_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, doc_id: str, text: str,
-                   length: int, percent: int) -> DataFrame:
+                   length: int, percent: int, seed: int) -> DataFrame:
     """The pairs that are similar. A set moves to the group of its cluster of pairs.
 
     Small clusters share groups of about `GROUP_BYTES`; a larger one is cut by hash, and a set
@@ -283,7 +318,7 @@ def verified_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, doc_id
         "home", F.least("a_cut", "b_cut").alias("i"), F.greatest("a_cut", "b_cut").alias("j"),
         "a", "b"))
     places = settled(asked.select(*group, F.explode(F.array("a", "b")).alias("node")).distinct())
-    sets = sets_of(docs, classes, spots.select("node"), doc_id, text, length, percent).join(
+    sets = sets_of(docs, classes, spots.select("node"), doc_id, text, length, seed).join(
         small(places), "node").select(
         *group, F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "data")
     return settled(asked.withColumn("data", F.lit(None).cast("binary")).union(sets).groupBy(
@@ -302,14 +337,17 @@ def promising(members: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame, doc_id: str, text: str,
-            length: int, percent: int) -> DataFrame:
-    """(node, n, data): the features of classes, read from the texts; repeated rows give repeats."""
-    needed = settled(classes.join(nodes, "node", "left_semi").select("node", "key", "least"))
-    ids = needed.select("least").distinct()
+            length: int, seed: int) -> DataFrame:
+    """(node, n, data): the features of classes, read from the texts; repeated rows give repeats.
+
+    Ids too many to broadcast are hashed, so that texts are dealt but not sorted.
+    """
+    needed = settled(classes.join(nodes, "node", "left_semi").select("node", "least"))
+    ids = small(needed.select("least").distinct(), "shuffle_hash")
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(
-        small(ids), F.col("doc_id").eqNullSafe(F.col("least")), "left_semi")
-    read = read_sets(texts, "doc_id", "text", length, percent, False)
-    return read.join(small(needed.select("key", "node", "least")), "key").where(
+        ids, F.col("doc_id").eqNullSafe(F.col("least")), "left_semi")
+    read = read_sets(texts, "doc_id", "text", length, seed)
+    return read.join(small(needed), "node").where(
         F.col("doc_id").eqNullSafe(F.col("least"))).select("node", "n", "data")
 
 
