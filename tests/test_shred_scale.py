@@ -34,6 +34,35 @@ def test_ids_are_made_before_documents_become_elements(spark):
     assert "regexp" not in above.lower() and "AS OBJECTID" in below
 
 
+@pytest.mark.parametrize("large", [False, True])
+def test_root_texts_and_repeated_urls_stay_in_the_document(monkeypatch, large):
+    if large:
+        monkeypatch.setattr(xml_rows, "LARGE", 1)
+    docs = pa.RecordBatch.from_pydict({
+        "url": ["u1", "u2", "u3"], "xml": ["<A v='1'><B>x<C>y</C></B><B>z</B></A>", "<A>t</A>", "no"]})
+
+    def rows(**options):
+        return sorted((row for batch in xml_rows.element_batches(**options)(iter([docs]))
+                       for row in batch.select(["url", "ORDER", "XPATH", "VALUE"]).to_pylist()),
+                      key=lambda row: (row["url"] or "", row["XPATH"] or ""))
+
+    whole, lean = rows(), rows(root_text=False, once=("url",))
+    assert [row["VALUE"] for row in whole if row["ORDER"] == 1] == ["xyz", "t"]
+    wanted = [{**row, "url": row["url"] if row["ORDER"] <= 1 else None,
+               "VALUE": row["VALUE"] if row["ORDER"] != 1 else None} for row in whole]
+    assert lean == sorted(wanted, key=lambda row: (row["url"] or "", row["XPATH"] or ""))
+
+
+def test_long_rows_ask_for_no_root_text(spark, monkeypatch):
+    asked = []
+    make = xml_rows.element_batches
+    monkeypatch.setattr(xml_rows, "element_batches", lambda *a, **k: asked.append(a) or make(*a, **k))
+    docs = spark.createDataFrame([("u", "<A returnVersion='7'><B>x</B></A>")], "url string, xml string")
+    rows = long_rows(docs).orderBy("ORDER").select("URL", "VALUE").collect()
+    assert [tuple(row) for row in rows] == [("u", "VERSION: 7"), (None, "x")]
+    assert asked[0][2:] == (False, ("url",))
+
+
 def test_landed_files_hold_few_documents(spark, tmp_path):
     docs = spark.range(0, 95, 1, 2).select(
         F.concat(F.lit("u"), F.col("id").cast("string")).alias("url"), F.lit("<A/>").alias("xml"))
