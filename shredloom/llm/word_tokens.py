@@ -2,20 +2,26 @@
 
 The library cleans a text, cuts it at white space and merges each part on its own, so the ids of
 a text are those of its words. Words are looked up; only new ones go to the library, plain ones
-many at a time.
+many at a time. Latin letters are lowered here and need only the library's merges: cleaning and
+cutting them took it as long again.
 """
 
 from __future__ import annotations
 
+import re
+import string
 import unicodedata
 from itertools import compress, islice
+from operator import add, not_
 
 import numpy as np
 
 KEPT_WORDS = 600_000   # words whose ids a task remembers: memory only, results do not depend on it
 BLOCK = 1 << 20        # bytes of a text whose words are listed at once
-JOINED = 1_000         # plain words given to the library as one text
-STOPS = ".,;:!?"       # stand for themselves behind letters
+JOINED = 100           # plain words given to the library as one text
+STOPS = string.punctuation.replace("'", "")  # stand for themselves behind letters; 's does not
+# Letters that are composed, and have one lower case in every version of Unicode.
+LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 ID = np.dtype("<u4")
 
 
@@ -23,10 +29,14 @@ class WordTokenizer:
     """`json` is the content of a vocabulary file with word ends and no other context."""
 
     def __init__(self, json: str, kept: int = KEPT_WORDS):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_str(json)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.merges = Tokenizer(self.library.model)  # the same vocabulary, for clean words
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(),
+            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         ends = [name.endswith("</w>") for name, _ in sorted(
             self.library.get_vocab(with_added_tokens=False).items(), key=lambda item: item[1])]
         self.ends_word = np.array(ends)
@@ -61,28 +71,31 @@ class WordTokenizer:
             found[place].append(b"".join(map(self.known.__getitem__, words)))
 
     def _learn(self, words: list[bytes]) -> None:
-        texts = [word.decode() for word in words]
+        texts = b" ".join(words).decode().split(" ")
         stems = [text.rstrip(STOPS) for text in texts]
-        plain = [one_part(stem) for stem in stems]
-        tails = [text[len(stem):] for text, stem in zip(texts, stems)]
-        stems = [stem.lower() if stem.isascii() else stem for stem in stems]  # fewer of them
-        found = self._encode_plain(list(set(compress(stems, plain))))
-        singles = {text for text, is_plain in zip(texts, plain) if not is_plain}
-        singles.update(compress(tails, plain))
-        singles = list(singles)
+        latin = [LATIN(stem) is not None for stem in stems]
+        plain = [is_latin or one_part(stem) for is_latin, stem in zip(latin, stems)]
+        whole = list(map(not_, plain))
+        tails = list(compress(map(str.removeprefix, texts, stems), plain))
+        stems = [stem.lower() if is_latin else stem for is_latin, stem in zip(latin, stems)]
+        found = self._encode_plain(list(set(compress(stems, latin))), self.merges)
+        found |= self._encode_plain(
+            list(set(compress(stems, plain)).difference(found)), self.library)
+        texts = list(compress(texts, whole))
+        singles = list({*texts, *tails})
         other = dict(zip(singles, map(packed, self._encode(singles))))
-        self.known.update(
-            (word, found[stem] + other[tail] if is_plain else other[text])
-            for word, text, stem, tail, is_plain in zip(words, texts, stems, tails, plain))
+        self.known.update(zip(compress(words, plain), map(
+            add, map(found.__getitem__, compress(stems, plain)), map(other.__getitem__, tails))))
+        self.known.update(zip(compress(words, whole), map(other.__getitem__, texts)))
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_plain(self, stems: list[str]) -> dict[str, bytes]:
+    def _encode_plain(self, stems: list[str], tokenizer) -> dict[str, bytes]:
         """Words that are one part each, many joined: the last token of a part tells its end."""
         groups = [stems[k:k + JOINED] for k in range(0, len(stems), JOINED)]
         found: dict[str, bytes] = {}
-        for group, coded in zip(groups, self.library.encode_batch_fast(
+        for group, coded in zip(groups, tokenizer.encode_batch_fast(
                 [" ".join(group) for group in groups], add_special_tokens=False)):
             ids = np.array(coded.ids, ID)
             ends = np.flatnonzero(self.ends_word[ids]) + 1

@@ -122,3 +122,22 @@ def test_odd_documents(spark, vocabulary, library):
     assert sorted(r.length for r in packing.pack_documents(again, vocabulary).collect()) != []
     assert sum(r.length for r in packing.pack_documents(again, vocabulary).collect()) == 9
     assert packing.pack_documents(docs.limit(0), vocabulary).collect() == []
+
+
+def test_latin_words_need_only_the_merges(vocabulary, library):
+    """Words of Latin letters are right without the library's cleaning, which sees none of them."""
+    class Seen:
+        def __init__(self, inner):
+            self.inner, self.texts = inner, []
+
+        def encode_batch_fast(self, texts, **options):
+            self.texts += texts
+            return self.inner.encode_batch_fast(texts, **options)
+
+    mine = WordTokenizer(vocabulary)
+    mine.library = seen = Seen(mine.library)
+    text = "Über ÀÉÎÕÜ straße### (naïve) l'été it's Ångström%%. ÿ ﬁne Σας don't, ½ Öl=\u0338 e\u0301t"
+    assert mine.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    asked = " ".join(seen.texts).split()
+    assert not {"über", "Über", "straße", "ångström", "Ångström", "ÿ", "Ångström%%."} & set(asked)
+    assert {"(naïve", "l'été", "Öl=\u0338"} <= {word.rstrip(")") for word in asked}
