@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shredloom.llm.common import settled, stored
+from shredloom.llm.common import settled, shuffles_removed, stored
 from shredloom.llm.components import connected_components
 from shredloom.llm.shingles import (
     PartEnum, links_within, most_common, profile, set_key, shingle_set, similar)
@@ -25,6 +26,8 @@ FEW = 32              # classes of a signature whose pairs are looked up
 GROUP_BYTES = 16 << 20  # sets compared in one group
 CHUNK = 64            # documents whose signatures are made at once
 SEEN = 1_000_000      # sets that a task remembers to have signed
+ROUNDS = 4            # at most so many times texts are read to sign them
+ROUND_FEATURES = 60_000_000  # of all sets, signed in one round while there are more rounds
 BROADCAST_ROWS = 500_000
 
 
@@ -84,12 +87,12 @@ def read_sets(docs: DataFrame, doc_id: str, text: str, length: int, seed: int) -
         read, f"doc_id {kind}, n long, node long, data binary")
 
 
-def read_signatures(docs: DataFrame, text: str, length: int, percent: int,
-                    seed: int) -> DataFrame:
+def read_signatures(docs: DataFrame, text: str, length: int, percent: int, seed: int,
+                    part: int = 0, parts: int = 1) -> DataFrame:
     """(sig, node): the signatures of each set, mostly once for the copies that a task reads.
 
     They are made from the texts as they are shuffled, so no table of them is written and no
-    text moves.
+    text moves. Only one of `parts` equal parts of all possible signatures is kept.
     """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scheme, seen = PartEnum(percent), set()
@@ -107,10 +110,12 @@ def read_signatures(docs: DataFrame, text: str, length: int, percent: int,
                 seen.update(new)
                 signatures = scheme.signatures(list(new.values()))
                 if new:
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(np.concatenate(signatures).view(np.int64)),
-                        pa.array(np.repeat(np.array(list(new), np.int64),
-                                           [len(s) for s in signatures]))],
+                    found = np.concatenate(signatures)
+                    nodes = np.repeat(np.array(list(new), np.int64),
+                                      [len(s) for s in signatures])
+                    kept = found % np.uint64(parts) == part
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(found[kept].view(np.int64)), pa.array(nodes[kept])],
                         names=["sig", "node"])
 
     return docs.select(F.col(text).alias("text")).mapInArrow(read, "sig long, node long")
@@ -215,12 +220,7 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 def class_components(docs: DataFrame, rows: DataFrame, classes: DataFrame, doc_id: str,
                      text: str, length: int, percent: int, seed: int) -> DataFrame:
     """(node, component) of every class that links to another."""
-    # Nearly all signatures are met once. The rows move one time, and stay if their signature
-    # has another class. A class comes once from each task that read one of its copies.
-    same = Window.partitionBy("sig")
-    members = stored(read_signatures(docs, text, length, percent, seed).withColumns({
-        "_low": F.min("node").over(same), "_high": F.max("node").over(same)}).where(
-        F.col("_low") < F.col("_high")).select("sig", "node").dropDuplicates(), "members")
+    members = shared_signatures(docs, classes, text, length, percent, seed)
     met = small(settled(members.select("node").distinct()))
     profiles = stored(rows.select("node", "n", "profile").join(met, "node", "left_semi")
                       .dropDuplicates(["node"]), "profiles")
@@ -269,6 +269,29 @@ def class_components(docs: DataFrame, rows: DataFrame, classes: DataFrame, doc_i
     return both.union(lone)
 
 
+def shared_signatures(docs: DataFrame, classes: DataFrame, text: str, length: int, percent: int,
+                      seed: int) -> DataFrame:
+    """(sig, node) of the signatures that more than one class has.
+
+    Nearly all signatures are met once. The rows move one time, and stay if their signature has
+    another class. A class comes once from each task that read one of its copies. Of many
+    signatures a part moves at a time, and its shuffle files go before the next part is made, so
+    that the disk never holds all of them.
+    """
+    features = classes.agg(F.sum("n")).first()[0] or 0
+    parts = min(ROUNDS, max(1, -(-features // ROUND_FEATURES)))
+    same = Window.partitionBy("sig")
+    found = []
+    for part in range(parts):
+        with shuffles_removed(docs.sparkSession):
+            found.append(stored(
+                read_signatures(docs, text, length, percent, seed, part, parts).withColumns({
+                    "_low": F.min("node").over(same), "_high": F.max("node").over(same)}).where(
+                    F.col("_low") < F.col("_high")).select("sig", "node").dropDuplicates(),
+                "members"))
+    return reduce(DataFrame.union, found)
+
+
 def comparable(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sizes allow them to be similar."""
     sizes = small(sizes)

@@ -1,5 +1,7 @@
 """What keeps the near-duplicate join's disk in proportion: texts stay, few files of few links."""
 
+import time
+
 import corpus_pipeline
 import pytest
 from shredloom.llm import ngram_join
@@ -59,3 +61,40 @@ def test_sets_with_the_same_bits_are_told_apart(spark, monkeypatch):
     found = ngram_join.similar_documents(docs)
     assert found.where("component_id != doc_id").count() == 0
     assert found.select("component_id").distinct().count() == 4
+
+
+def shuffles_on_disk(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    names = manager.getAllFiles().mkString(",").split(",")
+    return {name.rpartition("/")[2].split("_")[1] for name in names if "/shuffle_" in name}
+
+
+def test_signatures_leave_no_shuffle_files(spark, monkeypatch):
+    """In several rounds, with the same signatures found as in one."""
+    texts = [document(k % 40, f"end{k}") for k in range(80)]
+    docs = spark.createDataFrame(texts, SCHEMA).repartition(3).localCheckpoint()
+    sets = ngram_join.read_rows(docs, "doc_id", "text", 5, 0).select("node", "n").localCheckpoint()
+    whole = ngram_join.shared_signatures(docs, sets, "text", 5, 80, 0)
+    assert len({name.split("/")[-2] for name in whole.inputFiles()}) == 1
+    monkeypatch.setattr(ngram_join, "ROUND_FEATURES", 1)
+    before = shuffles_on_disk(spark)
+    dealt = ngram_join.shared_signatures(docs, sets, "text", 5, 80, 0)
+    assert len({name.split("/")[-2] for name in dealt.inputFiles()}) == ngram_join.ROUNDS
+    until = time.time() + 30
+    # What is left is the sum of features, one row of each task.
+    while len(left := shuffles_on_disk(spark) - before) > 1 and time.time() < until:
+        time.sleep(0.2)
+    assert len(left) <= 1
+    found = sorted(map(tuple, dealt.collect()))
+    assert found and found == sorted(map(tuple, whole.collect()))
+
+
+def test_many_that_go_do_not_sort_texts(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", 5)
+    docs = spark.createDataFrame([document(k % 9)[1:] for k in range(90)],
+                                 SCHEMA.partition(", ")[2]).selectExpr(
+        "monotonically_increasing_id() AS doc_id", "*").localCheckpoint()
+    left = corpus_pipeline.near_stage(spark, docs, "")
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert left.count() == 9
